@@ -10,6 +10,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``score`` in [0, 1]; predicted at 0.3; evidence of all maximal segments."""
     from plumbline.llm.toxicity import toxicity
@@ -18,6 +24,26 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("segments").cast("long").alias("n_segments"))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+def op5_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.rans import read_token_files, token_folder, write_token_files
+
+    folder = token_folder(spark)
+    manifest, table_of = write_token_files(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), 2, folder)
+    return read_token_files(manifest, folder, table_of)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.packing import packed
+
+    return packed(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept from a posterior of 0.1: losing a clean document counts nine times keeping a poor one."""
     from plumbline.llm.quality import quality_posterior
@@ -26,9 +52,19 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.pii import personal_data
+
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op5_rans_token_files": op5_rans_token_files,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLE_SQL: dict[str, str] = {}
