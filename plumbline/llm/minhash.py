@@ -171,7 +171,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _region_pairs(percent: int, margin: float):
     """Pairs of a region whose components differ and whose signatures and sizes allow the similarity."""
 
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         ids, comp, size = (table.column(c).to_numpy() for c in ("class_id", "component", "n_shingles"))
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(len(ids), -1)

@@ -30,6 +30,12 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.pieces import encode_decode
+
+    return encode_decode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 def op5_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.llm.rans import read_token_files, token_folder, write_token_files
 
@@ -61,6 +67,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_rans_token_files": op5_rans_token_files,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
