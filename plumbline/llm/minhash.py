@@ -247,3 +247,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     known = sketched.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2", "n_shingles"], "left")
     component: Column = F.coalesce("component_id", "doc_id")
     return known.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` (``doc_id``, ``text`` and others) that near_duplicates keeps; rows without an id stay."""
+    kept = written(near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("__kept_id")).distinct(), "kept")
+    named = docs.where("doc_id is not null")
+    joined = named.join(kept, named["doc_id"] == kept["__kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    return joined.union(docs.where("doc_id is null"))

@@ -407,3 +407,21 @@ def masked(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
             out += [text[end:a], f"<{kind}>"]
         end = max(end, b)
     return "".join([*out, text[end:]])
+
+
+def masked_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` with every span in ``text`` replaced by its kind and ``n_chars``, if there, counted anew."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        field = trained_field()
+        for batch in batches:
+            for step in text_steps(batch, "text"):
+                texts = []
+                for text in column(step, "text").to_pylist():
+                    base, extra = found(text or "", field)
+                    texts.append(masked(text, [(k, a, b) for k in KINDS for a, b in base[k]] + extra))
+                at = step.schema.get_field_index("text")
+                yield step.set_column(at, step.schema.field(at).with_type(pa.string()), pa.array(texts, pa.string()))
+
+    out = docs.mapInArrow(run, docs.schema)
+    return out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else out

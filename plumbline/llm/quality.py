@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import batch_words, column, mixed, row_of, sums, text_steps
+from plumbline.llm.common import batch_words, column, mixed, row_of, sums, text_steps, written
 
 #: Frequent function words of English, German, French and Spanish.
 FUNCTION_WORDS = (
@@ -37,17 +37,17 @@ EXTRA = ("n_distinct_words", "n_lines", "n_function_words", "n_upper_words", "n_
 SYMBOLS = b"#*$%&|<>"
 
 
-def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Measures of each row's whole text; the input holds ``doc_id`` and ``text``."""
+def measured(batches: Iterator[pa.RecordBatch], text_col: str = "text", prefix: str = "") -> Iterator[pa.RecordBatch]:
+    """The rows with the measures of their whole texts, named with ``prefix``."""
     symbol = np.zeros(256, np.int8)
     symbol[list(SYMBOLS)] = 1
     function_words = pa.array(sorted(set(FUNCTION_WORDS)))
     for batch in batches:
-        for step in text_steps(batch, "text"):
-            text = pc.fill_null(column(step, "text"), "")
+        for step in text_steps(batch, text_col):
+            text = pc.fill_null(column(step, text_col), "")
             codes, bounds, words = batch_words(text)
             out = _measures(text, codes, bounds, words, symbol, function_words)
-            yield pa.RecordBatch.from_arrays([column(step, "doc_id"), *(pa.array(out[k], pa.int64()) for k in (*MEASURES, *EXTRA))], names=["doc_id", *MEASURES, *EXTRA])
+            yield pa.RecordBatch.from_arrays([*step.columns, *(pa.array(out[k], pa.int64()) for k in (*MEASURES, *EXTRA))], names=[*step.schema.names, *(prefix + k for k in (*MEASURES, *EXTRA))])
 
 
 def _measures(text: pa.Array, codes: np.ndarray, bounds: np.ndarray, words: pa.Array, symbol: np.ndarray, function_words: pa.Array) -> dict[str, np.ndarray]:
@@ -115,15 +115,15 @@ def _vote(good: Column, bad: Column) -> Column:
     return F.when(bad, F.lit(-1)).when(good, F.lit(1)).otherwise(F.lit(0))
 
 
-def rules() -> dict[str, Column]:
+def rules(prefix: str = "") -> dict[str, Column]:
     """Vote of each rule as a column expression over the measures."""
-    n = F.col("n_words")
-    share = lambda c, of=n: F.col(c) / F.greatest(of, F.lit(1))
-    mean = share("word_chars")
+    n = F.col(prefix + "n_words")
+    share = lambda c, of=n: F.col(prefix + c) / F.greatest(of, F.lit(1))
+    mean, lines = share("word_chars"), F.col(prefix + "n_lines")
     return {
         "word_length": _vote(mean.between(3.0, 10.0), (mean < 2.0) | (mean > 14.0)),
         "symbols": _vote(share("n_symbols") <= 0.02, share("n_symbols") > 0.15),
-        "duplicate_lines": _vote(share("n_dup_lines", F.col("n_lines")) <= 0.1, share("n_dup_lines", F.col("n_lines")) > 0.3),
+        "duplicate_lines": _vote(share("n_dup_lines", lines) <= 0.1, share("n_dup_lines", lines) > 0.3),
         "repeated_windows": _vote(share("n_repeat_words") <= 0.2, share("n_repeat_words") > 0.4),
         "function_words": _vote(share("n_function_words") >= 0.06, share("n_function_words") < 0.02),
         "upper_case": _vote(share("n_upper_words") <= 0.1, share("n_upper_words") > 0.5),
@@ -164,25 +164,53 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, trust
     return base, odds
 
 
-def quality_posterior(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """Measures, votes' posterior and verdict of every document.
+def _with_measures(docs: DataFrame, text_col: str, prefix: str = "") -> DataFrame:
+    extra = ", ".join(f"`{prefix}{c}` long" for c in (*MEASURES, *EXTRA))
+    own = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
+    return docs.mapInArrow(lambda it: measured(it, text_col, prefix), f"{own}, {extra}")
 
-    Returns id_col as ``doc_id`` with the measures, ``base_failed``, ``quality`` (posterior of
-    the good class, 0 to 1) and ``kept`` (not failed and ``quality >= threshold``).
-    """
-    from plumbline.llm.common import written
 
-    schema = ", ".join([f"doc_id {dict(docs.dtypes)[id_col]}", *(f"{c} long" for c in (*MEASURES, *EXTRA))])
-    rows = written(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(measured, schema), "quality")
+def fitted(rows: DataFrame) -> tuple[float, dict[str, tuple[float, float, float]]]:
+    """Prior log odds and, per rule, the log odds of its outcomes, from the votes on measured ``rows``."""
     votes = rules()
     names = list(votes)
     seen = rows.select(*(v.alias(k) for k, v in votes.items())).groupBy(*names).count().collect()  # at most 3 ** rules rows
     patterns = np.array([[r[k] for k in names] for r in seen], dtype=int).reshape(len(seen), len(names))
     base, odds = fit_votes(patterns, np.array([r["count"] for r in seen], dtype=float))
+    return base, {name: tuple(float(x) for x in odds[k]) for k, name in enumerate(names)}
+
+
+def verdict(model: tuple[float, dict[str, tuple[float, float, float]]], threshold: float, prefix: str = "") -> tuple[Column, Column, Column]:
+    """Expressions over the measures: base rule failed, posterior of good, kept."""
+    base, odds = model
     logit = F.lit(base)
-    for k, name in enumerate(names):
-        bad, none, good = (float(x) for x in odds[k])
-        logit = logit + F.when(votes[name] < 0, bad).when(votes[name] > 0, good).otherwise(none)
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    for name, vote in rules(prefix).items():
+        bad, none, good = odds[name]
+        logit = logit + F.when(vote < 0, bad).when(vote > 0, good).otherwise(none)
+    n, repeat = F.col(prefix + "n_words"), F.col(prefix + "n_repeat_words")
+    failed = (n < 50) | (100 * repeat > 50 * n)
     quality = 1 / (1 + F.exp(-logit))
-    return rows.select("doc_id", *MEASURES, *EXTRA, failed.alias("base_failed"), quality.alias("quality"), (~failed & (quality >= threshold)).alias("kept"))
+    return failed, quality, ~failed & (quality >= threshold)
+
+
+def quality_posterior(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """Measures, votes' posterior and verdict of every document.
+
+    Returns id_col as ``doc_id`` with the measures, ``base_failed``, ``quality`` (posterior of
+    the good class, 0 to 1) and ``kept`` (not failed and ``quality >= threshold``).
+    """
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = written(_with_measures(slim, "text").drop("text"), "quality")
+    failed, quality, kept = verdict(fitted(rows), threshold)
+    return rows.select("doc_id", *MEASURES, *EXTRA, failed.alias("base_failed"), quality.alias("quality"), kept.alias("kept"))
+
+
+def good_documents(docs: DataFrame, text_col: str = "text", threshold: float = 0.1) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns.
+
+    Texts are measured twice, once to fit and once to filter, so that no text is shuffled.
+    """
+    rows = written(_with_measures(docs.select(F.col(text_col).alias("text")), "text").drop("text"), "quality")
+    prefix = "__quality_"
+    _, _, kept = verdict(fitted(rows), threshold, prefix)
+    return _with_measures(docs, text_col, prefix).where(kept).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import batch_words, column, mixed, row_of, text_steps, written
@@ -116,6 +116,14 @@ def maximal_segments(scores: list[float], gaps: list[int], cost: float) -> list[
     return [(right - left, int(a), int(b)) for left, right, a, b in kept]
 
 
+#: Bits from which a segment counts; below it, chance makes one in every few hundred texts.
+FLOOR = -6.0
+
+
+def evidence_of(found: list[tuple[float, float, int, int]]) -> float:
+    return sum(max(bits - FLOOR, 0.0) for bits, *_ in found)
+
+
 @dataclass
 class ToxicModel:
     """Token weights with the calibration; ``evidence`` needs no Spark."""
@@ -148,12 +156,9 @@ class ToxicModel:
             out[d] = [(self.lam * s - level, s, int(at[a]), int(at[b])) for s, a, b in maximal_segments(w[at + bounds[d]].tolist(), gaps.tolist(), self.cost)]
         return out
 
-    def evidence(self, text: pa.Array, floor: float = -6.0) -> np.ndarray:
-        """Log evidence of each text's segments: ``log(1 + sum of exp(bits))``-like, over segments whose bits exceed ``floor``."""
-        out = np.zeros(len(text))
-        for k, found in enumerate(self.segments(text)):
-            out[k] = sum(max(bits - floor, 0.0) for bits, *_ in found)
-        return out
+    def evidence(self, text: pa.Array) -> np.ndarray:
+        """Evidence of each text: its segments' bits, counted from ``FLOOR``."""
+        return np.array([evidence_of(found) for found in self.segments(text)])
 
     def probability(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.intercept + self.slope * np.log1p(evidence), -50, 50)))
@@ -206,8 +211,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
     return float(w[0]), float(w[1])
 
 
-def train_toxicity(labelled: DataFrame, train_limit: int = 40_000, vocabulary: int = 5_000, least_root: float = 5.5, least_count: int = 3) -> ToxicModel:
-    """Fit on ``labelled`` (``id``, ``text``, ``toxic`` 0 or 1), about ``train_limit`` rows of it by a hash of the id."""
+def train_toxicity(labelled: DataFrame, vocabulary: int = 5_000, least_root: float = 5.5, least_count: int = 3) -> ToxicModel:
+    """Fit on ``labelled`` (``id``, ``text``, ``toxic`` 0 or 1), a bounded table."""
     spark = labelled.sparkSession
     # One text of each group of near copies: words of a text that was copied often must not look like evidence.
     keyed = labelled.where("toxic in (0, 1)").select(F.col("id"), F.col("text"), F.col("toxic").cast("int").alias("toxic"))
@@ -273,7 +278,7 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", t
         for batch in batches:
             for step in text_steps(batch, "text"):
                 found = m.segments(column(step, "text"))
-                evidence = np.array([sum(max(bits + 6.0, 0.0) for bits, *_ in f) for f in found])
+                evidence = np.array([evidence_of(f) for f in found])
                 spans = pa.array([[{"first_word": a, "last_word": b, "bits": bits} for bits, _, a, b in f if bits > 0] for f in found], kind)
                 yield pa.RecordBatch.from_arrays([column(step, "doc_id"), pa.array(m.probability(evidence)), pa.array(evidence), spans], names=["doc_id", "score", "evidence", "segments"])
 
@@ -281,15 +286,35 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", t
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
+def learnt(docs: DataFrame, labels: DataFrame, train_limit: int, held_out: int, folds: int) -> ToxicModel:
+    usable = labels.select("doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").where(fold(folds) != held_out)
+    chosen = hashed_share(usable, "doc_id", train_limit, usable.count())
+    # chosen holds about train_limit rows whatever the input, so that the texts need no shuffle
+    train = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").alias("id"), "text", "toxic")
+    return train_toxicity(train)
+
+
+def fold(folds: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, train_limit: int = 40_000, held_out: int = 2, folds: int = 4) -> DataFrame:
     """Scores of ``docs`` by a model learnt from ``labels`` (``doc_id``, ``toxic``) outside fold ``held_out``.
 
     The fold of an id is crc32 of its decimal text modulo ``folds``. Returns score_toxicity's columns and ``held_out``.
     """
-    fold = lambda: F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
-    usable = labels.select("doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").where(fold() != held_out)
-    chosen = hashed_share(usable, "doc_id", train_limit, usable.count())
-    # chosen holds about train_limit rows whatever the input, so that the texts need no shuffle
-    train = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").alias("id"), "text", "toxic")
-    scored = score_toxicity(docs, train_toxicity(train, train_limit))
-    return scored.withColumn("held_out", F.coalesce(fold() == held_out, F.lit(False)))
+    scored = score_toxicity(docs, learnt(docs, labels, train_limit, held_out, folds))
+    return scored.withColumn("held_out", F.coalesce(fold(folds) == held_out, F.lit(False)))
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, train_limit: int = 40_000, held_out: int = 2, folds: int = 4) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns and without a shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(learnt(docs, labels, train_limit, held_out, folds))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            for step in text_steps(batch, "text"):
+                yield step.filter(pa.array(m.probability(m.evidence(column(step, "text"))) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
