@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from plumbline.plans import matching_plans, rollup_plans, stream_plans, text_plans
+
+_PLANS = (rollup_plans, text_plans, matching_plans, stream_plans)
+
 
 def queries() -> dict:
-    return {}
+    return {k: v for m in _PLANS for k, v in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for m in _PLANS for k, v in m.SQL.items()}
