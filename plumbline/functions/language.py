@@ -20,14 +20,18 @@ def _count(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
+def _among(words: list[str]):
+    return lambda w: w.isin(*words)
+
+
 def detected_language(text: Column, script_share: float = 0.10, least_words: int = 15, least_ratio: float = 0.04) -> Column:
     """A script name, ``en``, ``de``, ``es``, ``fr`` or ``und``."""
     text = F.coalesce(text, F.lit(""))
     letters = _count(text, r"\p{L}")
     share = {k: _count(text, p) for k, p in SCRIPTS.items()}
     top = F.greatest(*share.values())
-    words = F.transform(F.regexp_extract_all(text, F.lit("([a-zA-Zà-ÿÀ-ß]+)"), 1), lambda w: F.lower(w))
-    hits = {k: F.size(F.filter(words, lambda w, v=v: w.isin(*v.split()))) for k, v in WORDS.items()}
+    words = F.transform(F.regexp_extract_all(text, F.lit("([a-zA-Zà-ÿÀ-ß]+)"), F.lit(1)), lambda w: F.lower(w))
+    hits = {k: F.size(F.filter(words, _among(v.split()))) for k, v in WORDS.items()}
     best = F.greatest(*hits.values())
     out = F.when(letters == 0, "und")
     for k, c in share.items():

@@ -14,9 +14,14 @@ ORG_STOP = "the of and for a an inc llc ltd co corp corporation company group ho
 PERSON_STOP = "dr mr mrs ms prof jr sr the".split()
 
 
-def subject_mentioned(text: Column, name: Column, kind: Column, url: Column) -> Column:
-    """Whether a page names its subject, in its text or its url; true for an unusable name."""
-    n, t, u = fold_text(name), fold_text(text), F.replace(fold_text(url), F.lit(" "), F.lit(""))
+def folded_subjects(rows: DataFrame, text: str = "text", name: str = "name", url: str = "url") -> DataFrame:
+    """``rows`` with the folded forms that ``subject_mentioned`` reads."""
+    return rows.withColumns({"_name": fold_text(F.col(name)), "_text": fold_text(F.col(text)), "_url": F.replace(fold_text(F.col(url)), F.lit(" "), F.lit(""))})
+
+
+def subject_mentioned(kind: Column) -> Column:
+    """Whether a page of ``folded_subjects`` names its subject, in its text or its url; true for an unusable name."""
+    n, t, u = F.col("_name"), F.col("_text"), F.col("_url")
     words, have = F.filter(F.split(n, " "), lambda w: F.length(w) >= 2), F.split(t, " ")
     person = kind == "person"
     exact = F.concat(F.lit(" "), t, F.lit(" ")).contains(F.concat(F.lit(" "), n, F.lit(" ")))
@@ -43,9 +48,9 @@ def funnel(pages: DataFrame, known: DataFrame, least_chars: int = 500) -> DataFr
     rows = pages.join(known.select("subject", "url", F.lit(True).alias("_known")), ["subject", "url"], "left")
     text, tier = F.coalesce(F.col("text"), F.lit("")), source_tier(F.col("url"))
     early = F.when(is_junk_url(F.col("url")), "junk_url").when(tier == "E", "tier_e").when(F.col("_known"), "exists").when(F.length(text) < least_chars, "thin")
-    rows = rows.withColumn("tier", tier).withColumn("_early", early).withColumn("_sha", F.sha2(text, 256))
+    rows = folded_subjects(rows.withColumn("tier", tier).withColumn("_early", early).withColumn("_sha", F.sha2(text, 256)))
     n = F.row_number().over(Window.partitionBy("_sha", F.col("_early").isNull()).orderBy("subject", "url"))
-    outcome = F.coalesce("_early", F.when(n > 1, "duplicate").when(~subject_mentioned(text, F.col("name"), F.col("kind"), F.col("url")), "not_named").otherwise("kept"))
+    outcome = F.coalesce("_early", F.when(n > 1, "duplicate").when(~subject_mentioned(F.col("kind")), "not_named").otherwise("kept"))
     return rows.select("subject", "kind", "url", "tier", outcome.alias("outcome"))
 
 

@@ -40,9 +40,9 @@ def location_strip(spark, d):
     """Names with a nation, a state and an alias appended lose all three; the vocabulary holds the data's countries."""
     c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     vocabulary = F.array(*(F.lit(v) for v in text.location_vocabulary()))
-    own = F.array(text.norm_key(F.col("n_name")))
+    c = c.withColumn("own", F.array(F.regexp_replace(F.lower("n_name"), "[^a-z0-9_]+", " ")))
     name = F.concat("c_name", F.lit(", "), "n_name", F.lit(", NY, U.S.A."))
-    return c.select("c_custkey", text.strip_location(name, vocabulary, own).alias("stripped"))
+    return c.select("c_custkey", text.strip_location(name, vocabulary, F.col("own")).alias("stripped"))
 
 
 @query("suffix_strip", "SELECT s_suppkey, regexp_replace(lower(s_name), '[^a-z0-9]+', ' ', 'g') AS key, CASE WHEN s_suppkey % 3 = 2 THEN NULL ELSE CASE s_suppkey % 3 WHEN 0 THEN 'ltd' ELSE 'company' END END AS form FROM supplier")
@@ -283,10 +283,8 @@ def edition_edges(spark, d):
 
 @query("name_gate", "SELECT page_id, page_id % 2 = 0 AS named FROM pages")
 def name_gate(spark, d):
-    p = _evidence_pages(spark, d).withColumn("page_id", F.lit(0))
     src = table(spark, d, "pages").select("page_id", "html", _site().alias("url"), F.when(F.col("page_id") % 2 == 0, "The Charset Group").otherwise("Zzyzx Qwv").alias("name"))
-    del p
-    return src.select("page_id", evidence.subject_mentioned(F.col("html"), F.col("name"), F.lit("organization"), F.col("url")).alias("named"))
+    return evidence.folded_subjects(src, "html").select("page_id", evidence.subject_mentioned(F.lit("organization")).alias("named"))
 
 
 @query("conversation_turns", "SELECT conv_id, turn, role, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS rn FROM conversations")
