@@ -20,16 +20,18 @@ def with_slugs(entities: DataFrame, rounds: int = 8) -> DataFrame:
 
     A suffixed slug may collide with another entity's own base; suffixes are raised past such slugs until none is left.
     """
-    df = entities.withColumn("base", slug_of_key(F.col("norm_key"))).withColumn("n", F.row_number().over(Window.partitionBy("base").orderBy("first_seq", "norm_key")))
+    first = ("first_seq", "norm_key")
+    df = entities.withColumn("_base", slug_of_key(F.col("norm_key"))).withColumn("_n", F.row_number().over(Window.partitionBy("_base").orderBy(*first)))
     for _ in range(rounds):
-        df = df.withColumn("slug", F.when(F.col("n") == 1, F.col("base")).otherwise(F.concat_ws("-", "base", F.col("n").cast("string"))))
-        taken = df.groupBy("slug").agg(F.count("*").alias("m"), F.min_by("norm_key", F.struct((F.col("n") > 1).cast("int"), "first_seq", "norm_key")).alias("owner"))
-        clash = taken.where("m > 1")
+        df = df.withColumn("slug", F.when(F.col("_n") == 1, F.col("_base")).otherwise(F.concat_ws("-", "_base", F.col("_n").cast("string"))))
+        taken = df.groupBy("slug").agg(F.count("*").alias("_m"), F.min_by("norm_key", F.struct((F.col("_n") > 1).cast("int"), *first)).alias("_owner"))
+        clash = taken.where("_m > 1").select("slug", "_owner")
         if clash.isEmpty():
             break
-        top = Window.partitionBy("base")
-        df = df.join(clash.select("slug", "owner"), "slug", "left").withColumn("n", F.when(F.col("owner").isNotNull() & (F.col("owner") != F.col("norm_key")), F.max("n").over(top) + F.row_number().over(top.orderBy("first_seq", "norm_key"))).otherwise(F.col("n"))).drop("owner", "slug")
-    return df.drop("base", "n")
+        group = Window.partitionBy("_base")
+        raised = F.max("_n").over(group) + F.row_number().over(group.orderBy(*first))
+        df = df.join(clash, "slug", "left").withColumn("_n", F.when(F.col("_owner") != F.col("norm_key"), raised).otherwise(F.col("_n"))).drop("_owner", "slug")
+    return df.drop("_base", "_n")
 
 
 def merge_closure(decisions: DataFrame, rounds: int = 40) -> DataFrame:

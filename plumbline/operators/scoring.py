@@ -59,8 +59,8 @@ def fit(train: DataFrame, features: tuple[str, ...] = FEATURES, binary: tuple[st
     n, pos = stats["n"], stats["pos"]
     ready = train.select("label", *(((F.col(c).cast("double") - means[c]) / scales[c]).alias(c) if c in means else F.col(c).cast("double").alias(c) for c in features))
     weight = F.when(F.col("label") == 1, n / (2.0 * max(pos, 1))).otherwise(n / (2.0 * max(n - pos, 1))) if balanced else F.lit(1.0)
-    vectors = VectorAssembler(inputCols=list(features), outputCol="x").transform(ready.withColumn("w", weight).withColumn("label", F.col("label").cast("double")))
-    model = LogisticRegression(featuresCol="x", labelCol="label", weightCol="w", regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-8).fit(vectors)
+    vectors = VectorAssembler(inputCols=list(features), outputCol="_vector").transform(ready.withColumn("_weight", weight).withColumn("label", F.col("label").cast("double")))
+    model = LogisticRegression(featuresCol="_vector", labelCol="label", weightCol="_weight", regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-8).fit(vectors)
     return Scorer(dict(zip(features, map(float, model.coefficients))), float(model.intercept), means, scales)
 
 
