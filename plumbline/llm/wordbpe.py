@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import functools
 import json
+from array import array
 
 import numpy as np
 import regex
 
-#: Words kept in a process at most; the cache starts anew beyond it.
+#: Words of a generation of the cache; two generations are kept at most.
 CACHE_WORDS = 600_000
 
 #: Characters that normalisation only lowers: printable ASCII and Latin-1 without its spaces.
@@ -23,13 +24,18 @@ _PLAIN = regex.compile(r"[!-~¡-ÿ]+")
 
 
 class _Cache(dict):
+    """Values made on demand. When a generation is full it becomes the old one, from which entries in use return."""
+
     def __init__(self, make, limit: int) -> None:
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
         self[key] = value
         return value
@@ -58,6 +64,7 @@ class WordIds:
         self.letters = _byte_letters()
         self.words = _Cache(self._word, cache_words)
         self.pieces = _Cache(self._piece, cache_words // 2)
+        self.model, self.typecode = self.tokenizer.model, "H" if self.dtype.itemsize == 2 else "I"
         self.specials = [t["content"] for t in config.get("added_tokens") or []]
 
     @staticmethod
@@ -75,13 +82,16 @@ class WordIds:
             return None
 
     def _piece(self, piece: str) -> bytes:
-        spelled = piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], self.dtype).tobytes()
+        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return array(self.typecode, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        if _PLAIN.fullmatch(text) and not any(s in text for s in self.specials):
-            return b"".join(map(self.pieces.__getitem__, self.split.findall(text.lower())))
+        if _PLAIN.fullmatch(text):
+            if text.isalpha():
+                return self.pieces[text.lower()]
+            if not any(s in text for s in self.specials):
+                return b"".join(map(self.pieces.__getitem__, self.split.findall(text.lower())))
         return self._library(text)
 
     def _library(self, text: str) -> bytes:
