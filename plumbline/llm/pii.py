@@ -90,7 +90,7 @@ _CUES = {
     "card": {"card", "visa", "mastercard", "amex", "credit", "karte", "tarjeta", "carte"},
     "phone": {"tel", "phone", "call", "fax", "mobile", "telefon", "appelez", "llame", "cell", "whatsapp"},
 }
-_NUMERIC = set(" -().+/")
+_NUMERIC = {*" -().+/", "  "}
 
 
 @dataclass(frozen=True)
@@ -134,7 +134,7 @@ def candidates(tokens: list[str]) -> list[Candidate]:
         digits, words = 0, 0
         for b in range(a + 1, min(a + LONGEST, len(tokens)) + 1):
             t = tokens[b - 1]
-            if numeric and not (t.isdigit() and t.isascii() or (len(t) == 1 and t in _NUMERIC)):
+            if numeric and not (t.isdigit() and t.isascii() or t in _NUMERIC):
                 numeric = False
             if t.isdigit():
                 digits += len(t)
@@ -253,12 +253,12 @@ def made_examples(count: int = 360, seed: int = 11) -> list[tuple[list[str], lis
     def card() -> str:
         d = r.choice("3456") + number(14)
         d += next(c for c in "0123456789" if luhn(d + c))
-        sep = r.choice((".", " ", "-", "/", "  "))
+        sep = r.choice((".", " ", "-", "/", "  ", ""))
         return sep.join(d[i : i + 4] for i in range(0, 16, 4))
 
     def phone() -> str:
         a, b, c = number(3), number(3), number(4)
-        return r.choice((f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"0{number(1)} {number(2)} {number(2)} {number(2)} {number(2)}", f"1-{a}-{b}-{c}", f"({a}){b}-{c}"))
+        return r.choice((f"({a}) {b}-{c}", f"+1 ({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"0{number(1)} {number(2)} {number(2)} {number(2)} {number(2)}", f"1-{a}-{b}-{c}", f"({a}){b}-{c}"))
 
     def ip() -> str:
         o = [str(r.randint(1, 254)) for _ in range(4)]
@@ -283,7 +283,7 @@ def made_examples(count: int = 360, seed: int = 11) -> list[tuple[list[str], lis
     for k in range(count):
         text, gold = "", []
         for _ in range(r.randint(1, 2)):
-            text += " ".join(word() for _ in range(r.randint(1, 4))) + r.choice((" ", " ", ", ", ". "))
+            text += " ".join(word() for _ in range(r.randint(0 if text else 1, 4))) + r.choice((" ", " ", ", ", ". "))
             if r.random() < 0.55:
                 kind = r.randrange(4)
                 if r.random() < 0.4:

@@ -121,7 +121,7 @@ FLOOR = -6.0
 
 
 def evidence_of(found: list[tuple[float, float, int, int]]) -> float:
-    return sum(max(bits - FLOOR, 0.0) for bits, *_ in found)
+    return sum((max(bits - FLOOR, 0.0) for bits, *_ in found), 0.0)
 
 
 @dataclass
@@ -158,7 +158,7 @@ class ToxicModel:
 
     def evidence(self, text: pa.Array) -> np.ndarray:
         """Evidence of each text: its segments' bits, counted from ``FLOOR``."""
-        return np.array([evidence_of(found) for found in self.segments(text)])
+        return np.array([evidence_of(found) for found in self.segments(text)], float)
 
     def probability(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.intercept + self.slope * np.log1p(evidence), -50, 50)))
@@ -278,7 +278,7 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", t
         for batch in batches:
             for step in text_steps(batch, "text"):
                 found = m.segments(column(step, "text"))
-                evidence = np.array([evidence_of(f) for f in found])
+                evidence = np.array([evidence_of(f) for f in found], float)
                 spans = pa.array([[{"first_word": a, "last_word": b, "bits": bits} for bits, _, a, b in f if bits > 0] for f in found], kind)
                 yield pa.RecordBatch.from_arrays([column(step, "doc_id"), pa.array(m.probability(evidence)), pa.array(evidence), spans], names=["doc_id", "score", "evidence", "segments"])
 
