@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.llm.oracles import ORACLE_SQL  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -109,5 +111,3 @@ QUERIES = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_personal_data": op10_personal_data,
 }
-
-ORACLE_SQL: dict[str, str] = {}
