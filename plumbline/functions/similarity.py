@@ -89,23 +89,36 @@ def is_acronym(a: Column, b: Column) -> Column:
     return one(a, b) | one(b, a)
 
 
-def shared_rare(a: Column, b: Column, rare: Column) -> Column:
-    common = F.array_intersect(F.array_distinct(content_tokens(a)), F.array_distinct(content_tokens(b)))
-    return F.size(F.array_intersect(common, rare))
-
-
-def pair_features(key_a: Column, key_b: Column, reasons: Column, rare: Column) -> list[Column]:
-    """The fourteen features of a pair. Similarities are rounded to six places."""
-    a, b = feature_key(key_a), feature_key(key_b)
-    acronym, r6 = is_acronym(a, b), lambda c: F.round(c, 6)
-    tri, tok = r6(trigram_similarity(a, b)), r6(token_jaccard(a, b))
+def key_profile(key: Column) -> Column:
+    """What the features need of one key: normal form, token and trigram sets, initials."""
+    k = feature_key(key)
+    many = F.size(tokens(k)) >= 2
+    return F.struct(
+        k.alias("key"), F.array_distinct(tokens(k)).alias("tokens"), F.array_distinct(content_tokens(k)).alias("content"), trigrams(k).alias("grams"), trigrams(F.replace(k, F.lit(" "), F.lit(""))).alias("despaced"),
+        F.when(k.rlike(r"^\p{L}{2,7}$"), k).alias("short"), F.when(many, initials(k, False)).alias("initials"), F.when(many, initials(k, True)).alias("skipped"),
+    )
+
+
+def profile_features(a: Column, b: Column, reasons: Column, rare: Column) -> list[Column]:
+    """The fourteen features of a pair of profiles. Similarities are rounded to six places."""
+    r6 = lambda c: F.round(c, 6)
+    spells = lambda x, y: F.coalesce((x["short"] == y["initials"]) | (x["short"] == y["skipped"]), F.lit(False))
+    acronym = spells(a, b) | spells(b, a)
+    tri, tok = r6(jaccard(a["grams"], b["grams"])), r6(jaccard(a["tokens"], b["tokens"]))
+    overlap = ratio(F.size(F.array_intersect(a["tokens"], b["tokens"])), F.least(F.size(a["tokens"]), F.size(b["tokens"])))
     made = [
-        F.array_contains(reasons, "trigram"), F.array_contains(reasons, "rare_token"), F.array_contains(reasons, "acronym"), tri, tok, r6(length_ratio(a, b)), shared_rare(a, b, rare),
-        r6(overlap_coefficient(a, b)), r6(despaced_similarity(a, b)), acronym, r6(prefix_overlap(a, b)), r6(suffix_match(a, b)), F.when(acronym, tri).otherwise(0.0), F.when(acronym, tok).otherwise(0.0),
+        F.array_contains(reasons, "trigram"), F.array_contains(reasons, "rare_token"), F.array_contains(reasons, "acronym"), tri, tok, r6(length_ratio(a["key"], b["key"])),
+        F.size(F.array_intersect(F.array_intersect(a["content"], b["content"]), rare)), r6(overlap), r6(jaccard(a["despaced"], b["despaced"])), acronym,
+        r6(prefix_overlap(a["key"], b["key"])), r6(suffix_match(a["key"], b["key"])), F.when(acronym, tri).otherwise(0.0), F.when(acronym, tok).otherwise(0.0),
     ]
     return [c.alias(n) for c, n in zip(made, FEATURES)]
 
 
+def pair_features(key_a: Column, key_b: Column, reasons: Column, rare: Column) -> list[Column]:
+    """The features of a pair of keys; ``blocking.with_features`` profiles each key only once."""
+    return profile_features(key_profile(key_a), key_profile(key_b), reasons, rare)
+
+
 def pair_fraction(left: Column, right: Column, salt: str | None = None) -> Column:
     """A pair's place in [0, 1): the first eight bytes of the SHA-256 of its keys (and a salt), big-endian."""
     parts = [F.lit(salt), F.lit("\0")] if salt else []

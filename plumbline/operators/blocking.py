@@ -6,10 +6,10 @@ order of their keys with a ``reason``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.similarity import word_trigrams
+from plumbline.functions.similarity import key_profile, profile_features, word_trigrams
 from plumbline.functions.text import ABBREVIATIONS, SMALL_WORDS, content_tokens, initials, tokens
 
 PAIR = ("left_key", "left_id", "right_key", "right_id", "reason")
@@ -109,6 +109,14 @@ def generate(orgs: DataFrame) -> DataFrame:
     return merged_pairs(*(f(orgs) for f in BLOCKERS.values()))
 
 
+def with_features(pairs: DataFrame, orgs: DataFrame, rare: Column) -> DataFrame:
+    """Pairs (left_key, right_key, reasons) of ``orgs`` with the fourteen features; each key is profiled once and joined to its pairs."""
+    keys = orgs.select("key").distinct().withColumn("profile", key_profile(F.col("key")))
+    side = lambda name: keys.select(F.col("key").alias(f"{name}_key"), F.col("profile").alias(f"_{name}"))
+    joined = pairs.join(side("left"), "left_key").join(side("right"), "right_key")
+    return joined.select("left_key", "right_key", *profile_features(F.col("_left"), F.col("_right"), F.col("reasons"), rare))
+
+
 def hard_cases(orgs: DataFrame) -> DataFrame:
     """Pairs of all four patterns with the patterns joined by ``+``."""
     merged = merged_pairs(reordered_pairs(orgs), acronym_pairs(orgs), abbreviation_pairs(orgs), and_variant_pairs(orgs))

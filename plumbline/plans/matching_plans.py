@@ -127,7 +127,7 @@ def _features(spark, d):
     o = orgs(spark, d)
     pairs = blocking.merged_pairs(blocking.trigram_pairs(o, 0.5), blocking.acronym_pairs(o))
     rare = F.array(F.lit("economy"), F.lit("small"))
-    return pairs.select("left_key", "right_key", *sim.pair_features(F.col("left_key"), F.col("right_key"), F.col("reasons"), rare))
+    return blocking.with_features(pairs, o, rare)
 
 
 _G = "list_distinct(list_transform(range(1, length(p) - 1), lambda i: substr(p, i, 3)))"
@@ -310,10 +310,10 @@ def choose_winner(spark, d):
 _FIXED = scoring.Scorer({"n_chars": 0.8, "k": -0.5}, 0.25, {"n_chars": 1500.0}, {"n_chars": 900.0}, 1.966, 0.386)
 
 
-@query("score_linear", "SELECT doc_id, round(1 / (1 + exp(-(1.966 * (0.25 + 0.8 * ((n_chars - 1500.0) / 900.0) - 0.5 * (doc_id % 3)) + 0.386))), 4) AS probability FROM documents")
+@query("score_linear", "SELECT doc_id, round(1 / (1 + exp(-(1.966 * (0.25 + 0.8 * ((n_chars - 1500.0) / 900.0) - 0.5 * (doc_id % 3)) + 0.386))), 6) AS probability FROM documents")
 def score_linear(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "n_chars", (F.col("doc_id") % 3).alias("k"))
-    return docs.select("doc_id", F.round(_FIXED.probability(), 4).alias("probability"))
+    return docs.select("doc_id", _FIXED.probability().alias("probability"))
 
 
 @query("score_fit")
