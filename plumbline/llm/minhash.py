@@ -6,11 +6,11 @@ tree of the forest is another order of that signature, and classes that agree in
 ``levels`` values of an order share a region of it. Regions that hold too many classes
 are followed to deeper levels, where only longer common prefixes meet.
 
-Two passes keep the work linear. The first links every class of a region to the
-region's smallest class, in a few trees; links are confirmed on whole sets and closed to
-components. The second looks, in every tree, only at regions that still hold several
-components, estimates the similarity of their members from whole signatures, and
-confirms what remains. Copies are never expanded into pairs.
+Two passes keep the work linear. The first links classes of a region to the region's
+smallest class, in a few trees and then in more for those still apart; links are confirmed on
+whole sets and closed to components. The second looks, in every tree, only at regions that
+still hold several components, estimates the similarity of their members from whole
+signatures, and confirms what remains. Copies are never expanded into pairs.
 
 A pair of similarity s is missed by all trees with probability ``(1 - s ** levels) **
 trees``: 3e-6 at 0.8 with the defaults.
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import batch_words, column, mixed, row_of, text_steps, written
+from plumbline.llm.common import batch_words, column, mixed, text_steps, written
 from plumbline.llm.components import components
 
 TREES, LEVELS = 24, 4
@@ -114,9 +114,10 @@ def _sketching(width: int, trees: int, levels: int):
     return run
 
 
-def _regions(trees: int, levels: int, depth: int, only: int | None = None):
-    """Region keys of each class at ``depth`` in all trees (or the first ``only``). Passes the other columns on."""
-    order = orders(trees, levels, DEEPEST)[: only or trees, :depth]
+def _regions(trees: int, levels: int, depth: int, some: slice = slice(None)):
+    """Region keys of each class at ``depth`` in all trees (or in ``some``). Passes the other columns on."""
+    numbers = np.arange(trees, dtype=np.uint64)[some]
+    order = orders(trees, levels, DEEPEST)[some, :depth]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,7 +125,7 @@ def _regions(trees: int, levels: int, depth: int, only: int | None = None):
             if not n:
                 continue
             sig = np.frombuffer(b"".join(column(batch, "sig").to_pylist()), np.uint32).reshape(n, -1)
-            key = np.repeat(np.arange(t, dtype=np.uint64)[None, :] + np.uint64(depth << 32), n, 0)
+            key = np.repeat(numbers[None, :] + np.uint64(depth << 32), n, 0)
             for level in range(depth):
                 key = mixed(key.ravel()).reshape(n, t) + sig[:, order[:, level]]
             at = np.repeat(np.arange(n), t)
@@ -188,14 +189,20 @@ def _region_pairs(percent: int, margin: float):
     return run
 
 
-def _forest_pairs(classes: DataFrame, trees: int, levels: int, percent: int) -> DataFrame:
+def _star_pairs(classes: DataFrame, trees: int, levels: int, percent: int, some: slice) -> DataFrame:
+    """Every class of a region with the region's smallest class, where their components differ and their sizes allow the similarity."""
+    rows = classes.mapInArrow(_regions(trees, levels, levels, some), "region long, class_id long, n_shingles long, component long")
+    centre = rows.groupBy("region").agg(F.min_by(F.struct("class_id", "n_shingles", "component"), "class_id").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("region", "c")
+    fits = 100 * F.least("n_shingles", "c.n_shingles") >= percent * F.greatest("n_shingles", "c.n_shingles")
+    return rows.join(centre, "region").where((F.col("c.component") != F.col("component")) & fits).select(F.col("c.class_id").alias("a"), F.col("class_id").alias("b")).distinct()
+
+
+def _forest_pairs(classes: DataFrame, trees: int, levels: int, percent: int, margin: float) -> DataFrame:
     """Candidate pairs between components: all trees, each region at the depth where it is small enough.
 
-    ``classes``: class_id, n_shingles, component, sig.
+    ``classes``: class_id, n_shingles, component, sig. Pairs whose signatures agree in a smaller share than ``margin`` are none.
     """
     slim, out = classes.select("class_id", "component", "sig"), None
-    share = percent / 100
-    margin = share - 5 * (share * (1 - share) / (trees * levels)) ** 0.5
     live, depth = slim, levels
     while True:
         rows = live.mapInArrow(_regions(trees, levels, depth), "region long, class_id long, component long")
@@ -231,22 +238,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     shared = rows.groupBy("region").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z")).where("a < z").select("region")
     needed = written(rows.join(shared, "region", "left_semi").select("class_id").distinct(), "needed")
     sets = written(texts.join(needed.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("class_id"), "text").mapInArrow(_sets(width), "class_id long, items binary"), "sets").dropDuplicates(["class_id", "items"])
-    # First pass: each region's members against its smallest class.
-    starred = classes.join(needed, "class_id", "left_semi").select("class_id", "n_shingles", "sig").mapInArrow(_regions(trees, levels, levels, star_trees), "region long, class_id long, n_shingles long")
-    centre = starred.groupBy("region").agg(F.min_by(F.struct("class_id", "n_shingles"), "class_id").alias("c"), F.max("class_id").alias("z")).where("c.class_id < z")
-    fits = 100 * F.least("n_shingles", "c.n_shingles") >= percent * F.greatest("n_shingles", "c.n_shingles")
-    stars = starred.join(centre, "region").where((F.col("c.class_id") < F.col("class_id")) & fits).select(F.col("c.class_id").alias("a"), F.col("class_id").alias("b")).distinct()
-    first = written(components(_links(stars, sets, percent)), "components")
-    # Second pass: what still lies apart.
-    part = classes.join(needed, "class_id", "left_semi").join(first.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
-    part = written(part.select("class_id", "n_shingles", "component", "sig"), "parted")
-    links = _links(_forest_pairs(part, trees, levels, percent), sets, percent)
-    edges = links.union(first.select(F.col("component").alias("a"), F.col("node").alias("b")))
-    last = components(edges).withColumnRenamed("node", "class_id")
+    share = percent / 100
+    margin = share - 4.5 * (share * (1 - share) / (trees * levels)) ** 0.5
+    known = None
+    # First pass: stars, in a few trees and then, for what is still apart, in others. Second pass: the whole forest.
+    for some in (slice(0, star_trees), slice(star_trees, 3 * star_trees), None):
+        part = classes.join(needed, "class_id", "left_semi").withColumn("component", F.col("class_id"))
+        if known is not None:
+            part = part.drop("component").join(known.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
+        part = written(part.select("class_id", "n_shingles", "component", "sig"), "parted")
+        pairs = _forest_pairs(part, trees, levels, percent, margin) if some is None else _star_pairs(part, trees, levels, percent, some)
+        edges = _links(pairs, sets, percent)
+        if known is not None:
+            edges = edges.union(known.select(F.col("component").alias("a"), F.col("node").alias("b")))
+        known = written(components(edges), "components")
+    last = known.withColumnRenamed("node", "class_id")
     named = ids.join(last, "class_id", "left").select("k1", "k2", "n_shingles", F.coalesce("component", "class_id").alias("component_id"))
-    known = sketched.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2", "n_shingles"], "left")
+    rows = sketched.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2", "n_shingles"], "left")
     component: Column = F.coalesce("component_id", "doc_id")
-    return known.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
