@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -15,9 +16,28 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that one vectorised step holds at most (a single longer text is a step of its own).
-STEP_BYTES = 8 << 20
+STEP_BYTES = 4 << 20
 
 _local_fallback: list[str] = []
+_caches: list = []
+
+
+def registered(cache):
+    """``cache`` (a dict with an old generation), which other operators' tasks may empty."""
+    _caches.append(cache)
+    return cache
+
+
+def lean() -> None:
+    """Give back what other operators have cached in this process; called as a task begins that uses no such cache."""
+    if any(_caches):
+        for c in _caches:
+            c.clear()
+            c.old = {}
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import batch_words, column, mixed, text_steps, written
+from plumbline.llm.common import batch_words, column, lean, mixed, text_steps, written
 from plumbline.llm.components import components
 
 TREES, LEVELS = 24, 4
@@ -95,6 +95,7 @@ def orders(trees: int, levels: int, deepest: int) -> np.ndarray:
 
 def _sketching(width: int, trees: int, levels: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             for step in text_steps(batch, "text"):
                 h, bounds = shingles(column(step, "text"), width)
@@ -137,6 +138,7 @@ def _regions(trees: int, levels: int, depth: int, some: slice = slice(None)):
 
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             for step in text_steps(batch, "text"):
                 h, bounds = shingles(column(step, "text"), width)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import column, text_steps
+from plumbline.llm.common import column, registered, text_steps
 from plumbline.llm.wordbpe import CACHE_WORDS, _Cache
 
 SPACE = "▁"
@@ -181,7 +181,7 @@ class PieceModel:
         self.by_word = not m.units and m.dummy_prefix and not m.remove_extra and m.escape and not m.suffix and 4 not in kinds and not any(SPACE in p.lstrip(SPACE) for p in self.text) and size <= 1 << 16 and SPACE in self.text
         self.decimal = [str(i) for i in range(size)]
         self.eos = self.sp.eos_id()
-        self.words = _Cache(self._word, cache_words)
+        self.words = registered(_Cache(self._word, cache_words))
 
     def _word(self, word: str) -> bytes:
         ids = self.sp.encode(word) if word else [self.sp.piece_to_id(SPACE)]
@@ -253,7 +253,7 @@ def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
         m = piece_model(model)
         names = m.decimal
         for batch in batches:
-            for step in text_steps(batch, "text", 1 << 20 if with_ids else 8 << 20):
+            for step in text_steps(batch, "text", 1 << 20 if with_ids else 4 << 20):
                 rows = []
                 for text in column(step, "text").to_pylist():
                     ids, ends = m.encoded(text or "")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import column, text_steps
+from plumbline.llm.common import column, lean, text_steps
 
 KINDS = ("email", "ip", "card", "phone")
 #: Tokens that a segment holds at most.
@@ -377,6 +377,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         field = trained_field()
         for batch in batches:
             for step in text_steps(batch, "text"):
@@ -413,6 +414,7 @@ def masked_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind and ``n_chars``, if there, counted anew."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         field = trained_field()
         for batch in batches:
             for step in text_steps(batch, "text"):

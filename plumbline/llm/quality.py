@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import batch_words, column, mixed, row_of, sums, text_steps, written
+from plumbline.llm.common import batch_words, column, lean, mixed, row_of, sums, text_steps, written
 
 #: Frequent function words of English, German, French and Spanish.
 FUNCTION_WORDS = (
@@ -39,6 +39,7 @@ SYMBOLS = b"#*$%&|<>"
 
 def measured(batches: Iterator[pa.RecordBatch], text_col: str = "text", prefix: str = "") -> Iterator[pa.RecordBatch]:
     """The rows with the measures of their whole texts, named with ``prefix``."""
+    lean()
     symbol = np.zeros(256, np.int8)
     symbol[list(SYMBOLS)] = 1
     function_words = pa.array(sorted(set(FUNCTION_WORDS)))

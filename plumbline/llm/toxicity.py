@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import batch_words, column, mixed, row_of, text_steps, written
+from plumbline.llm.common import batch_words, column, lean, mixed, row_of, text_steps, written
 
 EDGES = ".,;:!?\"'()[]{}<>*-_…«»„“”’‘"
 
@@ -75,6 +75,7 @@ def with_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per batch: in how many toxic and other texts each token stands. Input: ``text``, ``toxic``."""
+    lean()
     for batch in batches:
         for step in text_steps(batch, "text"):
             codes, bounds, words = batch_words(column(step, "text"))
@@ -273,6 +274,7 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", t
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         m = shared.value
         kind = pa.list_(pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()), ("bits", pa.float64())]))
         for batch in batches:
@@ -312,6 +314,7 @@ def clean_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
     shared = docs.sparkSession.sparkContext.broadcast(learnt(docs, labels, train_limit, held_out, folds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         m = shared.value
         for batch in batches:
             for step in text_steps(batch, "text"):

@@ -16,6 +16,8 @@ from array import array
 import numpy as np
 import regex
 
+from plumbline.llm.common import registered
+
 #: Words of a generation of the cache; two generations are kept at most.
 CACHE_WORDS = 600_000
 
@@ -62,8 +64,8 @@ class WordIds:
         self.by_word = pattern is not None
         self.split = regex.compile(pattern) if pattern else None
         self.letters = _byte_letters()
-        self.words = _Cache(self._word, cache_words)
-        self.pieces = _Cache(self._piece, cache_words // 2)
+        self.words = registered(_Cache(self._word, cache_words))
+        self.pieces = registered(_Cache(self._piece, cache_words // 2))
         self.model, self.typecode = self.tokenizer.model, "H" if self.dtype.itemsize == 2 else "I"
         self.specials = [t["content"] for t in config.get("added_tokens") or []]
 
