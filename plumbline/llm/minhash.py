@@ -131,7 +131,8 @@ def _regions(trees: int, levels: int, depth: int, some: slice = slice(None)):
                 key = mixed(key.ravel()).reshape(n, t) + sig[:, order[:, level]]
             at = np.repeat(np.arange(n), t)
             keep = [c for c in batch.schema.names if c != "sig"]
-            yield pa.RecordBatch.from_arrays([pa.array(mixed(key.ravel()).view(np.int64)), *(column(batch, c).take(pa.array(at)) for c in keep)], names=["region", *keep])
+            tree = pa.array(np.tile(numbers.astype(np.int32), n))
+            yield pa.RecordBatch.from_arrays([pa.array(mixed(key.ravel()).view(np.int64)), *(column(batch, c).take(pa.array(at)) for c in keep), tree], names=["region", *keep, "tree"])
 
     return run
 
@@ -171,19 +172,28 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "items_a", "items_b").mapInArrow(lambda it: confirmed(it, percent), "a long, b long")
 
 
-def _region_pairs(percent: int, margin: float):
-    """Pairs of a region whose components differ and whose signatures and sizes allow the similarity."""
+def _region_pairs(percent: int, margin: float, order: np.ndarray):
+    """Pairs of a region whose components differ and whose signatures and sizes allow the similarity.
+
+    ``order``: the signature's places that each tree compares at this depth. A pair that meets in the regions of several
+    trees is given by the first of them; ``trees`` has the bits of the trees in which a class stands in a whole region.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        ids, comp, size = (table.column(c).to_numpy() for c in ("class_id", "component", "n_shingles"))
+        ids, comp, size, trees, tree = (table.column(c).to_numpy() for c in ("class_id", "component", "n_shingles", "trees", "tree"))
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(len(ids), -1)
-        a, b = [], []
+        own, a, b = int(tree[0]), [], []
         for k in range(len(ids) - 1):
             other = np.flatnonzero(comp[k + 1 :] != comp[k]) + k + 1
             small, large = np.minimum(size[other], size[k]), np.maximum(size[other], size[k])
             other = other[100 * small >= percent * large]
-            other = other[(sig[other] == sig[k]).mean(1) >= margin]
+            same = sig[other] == sig[k]
+            near = same.mean(1) >= margin
+            other, same = other[near], same[near]
+            earlier = [t for t in range(own) if int(trees[k]) >> t & 1]
+            if earlier and int(trees[k]) >> own & 1 and len(other):
+                other = other[~same[:, order[earlier]].all(2).any(1)]
             a.append(np.minimum(ids[other], ids[k]))
             b.append(np.maximum(ids[other], ids[k]))
         return pa.table({"a": np.concatenate(a) if a else np.zeros(0, np.int64), "b": np.concatenate(b) if b else np.zeros(0, np.int64)}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
@@ -193,7 +203,7 @@ def _region_pairs(percent: int, margin: float):
 
 def _star_pairs(classes: DataFrame, trees: int, levels: int, percent: int, some: slice) -> DataFrame:
     """Every class of a region with the region's smallest class, where their components differ and their sizes allow the similarity."""
-    rows = classes.mapInArrow(_regions(trees, levels, levels, some), "region long, class_id long, n_shingles long, component long")
+    rows = classes.mapInArrow(_regions(trees, levels, levels, some), "region long, class_id long, n_shingles long, component long, tree int")
     centre = rows.groupBy("region").agg(F.min_by(F.struct("class_id", "n_shingles", "component"), "class_id").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("region", "c")
     fits = 100 * F.least("n_shingles", "c.n_shingles") >= percent * F.greatest("n_shingles", "c.n_shingles")
     return rows.join(centre, "region").where((F.col("c.component") != F.col("component")) & fits).select(F.col("c.class_id").alias("a"), F.col("class_id").alias("b")).distinct()
@@ -207,13 +217,16 @@ def _forest_pairs(classes: DataFrame, trees: int, levels: int, percent: int, mar
     slim, out = classes.select("class_id", "component", "sig"), None
     live, depth = slim, levels
     while True:
-        rows = live.mapInArrow(_regions(trees, levels, depth), "region long, class_id long, component long")
+        rows = live.mapInArrow(_regions(trees, levels, depth), "region long, class_id long, component long, tree int")
         open_regions = rows.groupBy("region").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("m > 1 and lo < hi")
-        members = written(rows.join(open_regions.select("region", "m"), "region").select("region", "class_id", "m"), "regions")
+        members = written(rows.join(open_regions.select("region", "m"), "region").select("region", "class_id", "m", "tree"), "regions")
         near = members if depth >= DEEPEST else members.where(F.col("m") <= REGION)
+        whole = F.when(F.col("m") <= REGION, F.expr("shiftleft(1L, tree)")).otherwise(F.lit(0).cast("long"))
+        masks = near.groupBy("class_id").agg(F.bit_or(whole).alias("trees"))
         if depth >= DEEPEST:  # what still agrees in all values is cut into parts by id; equal prefixes this long are copies in all but name
-            near = near.withColumn("region", F.xxhash64("region", F.floor(F.pmod(F.xxhash64("class_id"), F.greatest(F.lit(1), F.ceil(F.col("m") / REGION))))))
-        found = near.select("region", "class_id").join(classes, "class_id").groupBy("region").applyInArrow(_region_pairs(percent, margin), "a long, b long")
+            near = near.withColumn("region", F.when(F.col("m") <= REGION, F.col("region")).otherwise(F.xxhash64("region", F.floor(F.pmod(F.xxhash64("class_id"), F.ceil(F.col("m") / REGION))))))
+        pairs = _region_pairs(percent, margin, orders(trees, levels, DEEPEST)[:, :depth])
+        found = near.select("region", "class_id", "tree").join(masks, "class_id").join(classes, "class_id").groupBy("region").applyInArrow(pairs, "a long, b long")
         out = found if out is None else out.union(found)
         crowded = members.where(F.col("m") > REGION).select("class_id").distinct()
         if depth >= DEEPEST or crowded.isEmpty():
@@ -236,7 +249,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         "class-sketches",
     )
     # Classes that share any region at the first depth are all that can be linked; only their sets are made.
-    rows = classes.select("class_id", "sig").mapInArrow(_regions(trees, levels, levels), "region long, class_id long")
+    rows = classes.select("class_id", "sig").mapInArrow(_regions(trees, levels, levels), "region long, class_id long, tree int")
     shared = rows.groupBy("region").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z")).where("a < z").select("region")
     needed = written(rows.join(shared, "region", "left_semi").select("class_id").distinct(), "needed")
     sets = written(texts.join(needed.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("class_id"), "text").mapInArrow(_sets(width), "class_id long, items binary"), "sets").dropDuplicates(["class_id", "items"])
