@@ -1,19 +1,19 @@
-"""MinHash near-duplicate detection with an LSH forest.
+"""MinHash near-duplicate detection with LSH regions and an exact join of the crowded ones.
 
 A document's set holds the distinct hashes of its word shingles. Documents with equal
 sets form a class. Each class has one signature of ``trees * levels`` minimum hashes; each
-tree of the forest is another order of that signature, and classes that agree in the first
-``levels`` values of an order share a region of it. Regions that hold too many classes
-are followed to deeper levels, where only longer common prefixes meet.
+tree has ``levels`` values of it, and classes that agree in all of them share a region of the
+tree.
 
-Two passes keep the work linear. The first links classes of a region to the region's
-smallest class, in a few trees and then in more for those still apart; links are confirmed on
-whole sets and closed to components. The second looks, in every tree, only at regions that
-still hold several components, estimates the similarity of their members from whole
-signatures, and confirms what remains. Copies are never expanded into pairs.
+The first pass links classes of a region to the region's smallest class, in a few trees and
+then in more for those still apart; links are confirmed on whole sets and closed to
+components. The second looks, in every tree, only at regions that still hold several
+components, estimates the similarity of their members from whole signatures, and confirms
+what remains. The third takes the classes of regions with more than REGION classes and still
+several components, and joins their sets exactly. Copies are never expanded into pairs.
 
 A pair of similarity s is missed by all trees with probability ``(1 - s ** levels) **
-trees``: 3e-6 at 0.8 with the defaults.
+trees``: 3e-6 at 0.8 with the defaults, whatever the size of the regions.
 
 Defined results: null, empty and blank texts have an empty set, are linked with nothing
 and form their own component; a text with fewer words than a shingle is one shingle;
@@ -36,9 +36,7 @@ from plumbline.llm.common import batch_words, column, lean, mixed, text_steps, w
 from plumbline.llm.components import components
 
 TREES, LEVELS = 24, 4
-#: Values of a signature that an order names at most.
-DEEPEST = 16
-#: Classes of a region that are compared directly; larger regions are followed deeper.
+#: Classes of a region whose pairs are compared directly; the classes of larger regions go through an exact join.
 REGION = 128
 
 
@@ -85,14 +83,6 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray, count: int) -> np.ndarray
     return out
 
 
-def orders(trees: int, levels: int, deepest: int) -> np.ndarray:
-    """The values that each tree looks at, by level: its own first, then those of other trees."""
-    size = trees * levels
-    own = np.arange(size).reshape(trees, levels)
-    step = [(t * levels + levels + (j * (2 * t + 1)) % (size - levels)) % size for t in range(trees) for j in range(deepest - levels)]
-    return np.hstack([own, np.array(step, int).reshape(trees, deepest - levels)])
-
-
 def _sketching(width: int, trees: int, levels: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
@@ -115,10 +105,10 @@ def _sketching(width: int, trees: int, levels: int):
     return run
 
 
-def _regions(trees: int, levels: int, depth: int, some: slice = slice(None)):
-    """Region keys of each class at ``depth`` in all trees (or in ``some``). Passes the other columns on."""
+def _regions(trees: int, levels: int, some: slice = slice(None)):
+    """Region keys of each class in all trees (or in ``some``). Passes the other columns on."""
     numbers = np.arange(trees, dtype=np.uint64)[some]
-    order = orders(trees, levels, DEEPEST)[some, :depth]
+    order = np.arange(trees * levels).reshape(trees, levels)[some]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,8 +116,8 @@ def _regions(trees: int, levels: int, depth: int, some: slice = slice(None)):
             if not n:
                 continue
             sig = np.frombuffer(b"".join(column(batch, "sig").to_pylist()), np.uint32).reshape(n, -1)
-            key = np.repeat(numbers[None, :] + np.uint64(depth << 32), n, 0)
-            for level in range(depth):
+            key = np.repeat(numbers[None, :] + np.uint64(levels << 32), n, 0)
+            for level in range(levels):
                 key = mixed(key.ravel()).reshape(n, t) + sig[:, order[:, level]]
             at = np.repeat(np.arange(n), t)
             keep = [c for c in batch.schema.names if c != "sig"]
@@ -175,7 +165,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _region_pairs(percent: int, margin: float, order: np.ndarray):
     """Pairs of a region whose components differ and whose signatures and sizes allow the similarity.
 
-    ``order``: the signature's places that each tree compares at this depth. A pair that meets in the regions of several
+    ``order``: the signature's places that each tree compares. A pair that meets in the regions of several
     trees is given by the first of them; ``trees`` has the bits of the trees in which a class stands in a whole region.
     """
 
@@ -203,35 +193,61 @@ def _region_pairs(percent: int, margin: float, order: np.ndarray):
 
 def _star_pairs(classes: DataFrame, trees: int, levels: int, percent: int, some: slice) -> DataFrame:
     """Every class of a region with the region's smallest class, where their components differ and their sizes allow the similarity."""
-    rows = classes.mapInArrow(_regions(trees, levels, levels, some), "region long, class_id long, n_shingles long, component long, tree int")
+    rows = classes.mapInArrow(_regions(trees, levels, some), "region long, class_id long, n_shingles long, component long, tree int")
     centre = rows.groupBy("region").agg(F.min_by(F.struct("class_id", "n_shingles", "component"), "class_id").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("region", "c")
     fits = 100 * F.least("n_shingles", "c.n_shingles") >= percent * F.greatest("n_shingles", "c.n_shingles")
     return rows.join(centre, "region").where((F.col("c.component") != F.col("component")) & fits).select(F.col("c.class_id").alias("a"), F.col("class_id").alias("b")).distinct()
 
 
-def _forest_pairs(classes: DataFrame, trees: int, levels: int, percent: int, margin: float) -> DataFrame:
-    """Candidate pairs between components: all trees, each region at the depth where it is small enough.
+def _forest_pairs(classes: DataFrame, trees: int, levels: int, percent: int, margin: float) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs between components that meet in a region of up to REGION classes, and the classes of larger ones.
 
     ``classes``: class_id, n_shingles, component, sig. Pairs whose signatures agree in a smaller share than ``margin`` are none.
     """
-    slim, out = classes.select("class_id", "component", "sig"), None
-    live, depth = slim, levels
-    while True:
-        rows = live.mapInArrow(_regions(trees, levels, depth), "region long, class_id long, component long, tree int")
-        open_regions = rows.groupBy("region").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("m > 1 and lo < hi")
-        members = written(rows.join(open_regions.select("region", "m"), "region").select("region", "class_id", "m", "tree"), "regions")
-        near = members if depth >= DEEPEST else members.where(F.col("m") <= REGION)
-        whole = F.when(F.col("m") <= REGION, F.expr("shiftleft(1L, tree)")).otherwise(F.lit(0).cast("long"))
-        masks = near.groupBy("class_id").agg(F.bit_or(whole).alias("trees"))
-        if depth >= DEEPEST:  # what still agrees in all values is cut into parts by id; equal prefixes this long are copies in all but name
-            near = near.withColumn("region", F.when(F.col("m") <= REGION, F.col("region")).otherwise(F.xxhash64("region", F.floor(F.pmod(F.xxhash64("class_id"), F.ceil(F.col("m") / REGION))))))
-        pairs = _region_pairs(percent, margin, orders(trees, levels, DEEPEST)[:, :depth])
-        found = near.select("region", "class_id", "tree").join(masks, "class_id").join(classes, "class_id").groupBy("region").applyInArrow(pairs, "a long, b long")
-        out = found if out is None else out.union(found)
-        crowded = members.where(F.col("m") > REGION).select("class_id").distinct()
-        if depth >= DEEPEST or crowded.isEmpty():
-            return out.distinct()
-        live, depth = slim.join(crowded, "class_id", "left_semi"), min(depth * 2 if depth > levels else depth + 2, DEEPEST)
+    members = written(_open_members(classes, trees, levels), "regions")
+    near = members.where(F.col("m") <= REGION)
+    masks = near.groupBy("class_id").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("trees"))
+    pairs = _region_pairs(percent, margin, np.arange(trees * levels).reshape(trees, levels))
+    found = near.select("region", "class_id", "tree").join(masks, "class_id").join(classes, "class_id").groupBy("region").applyInArrow(pairs, "a long, b long")
+    return found.distinct(), members.where(F.col("m") > REGION).select("class_id").distinct()
+
+
+def _open_members(classes: DataFrame, trees: int, levels: int) -> DataFrame:
+    """Members of the regions, in all trees, that hold several components; ``m`` counts the region's classes."""
+    rows = classes.select("class_id", "component", "sig").mapInArrow(_regions(trees, levels), "region long, class_id long, component long, tree int")
+    open_regions = rows.groupBy("region").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("m > 1 and lo < hi")
+    return rows.join(open_regions.select("region", "m"), "region").select("region", "class_id", "m", "tree")
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each set, with the set's size ``n`` and a hash ``mark`` of it."""
+    for batch in batches:
+        for step in text_steps(batch, "items"):
+            sets = column(step, "items").to_pylist()
+            n = np.array([len(x) // 8 for x in sets], np.int64)
+            marks = np.array([xxhash.xxh3_64_intdigest(x) for x in sets], np.uint64).view(np.int64)
+            ids = column(step, "class_id").to_numpy()
+            yield pa.RecordBatch.from_arrays([*(pa.array(np.repeat(x, n)) for x in (ids, n, marks)), pa.array(np.frombuffer(b"".join(sets), np.int64))], names=["class_id", "n", "mark", "token"])
+
+
+def _crowd_pairs(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs between components of ``crowd`` (class_id, component) that can be similar, by a prefix filter.
+
+    Sets are ordered from the rarest shingle on. Of two sets of the similarity, the larger one's first
+    ``n - ceil(s * n) + 1`` and the smaller one's first ``n - ceil(2 * s / (1 + s) * n) + 1`` have a shingle in common, and
+    from the first common one on enough are left for the overlap. No such pair is lost, however many classes share a passage.
+    """
+    tokens = sets.join(crowd, "class_id").select("class_id", "items").mapInArrow(_tokens, "class_id long, n long, mark long, token long")
+    often = written(tokens.groupBy("token").agg(F.count("*").alias("f")).where("f > 1"), "token-counts")
+    # Shingles of one set only come first and meet nothing: they are counted, not carried along.
+    order = tokens.join(often, "token").groupBy("class_id", "n", "mark").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("tokens"))
+    order = order.selectExpr("class_id", "n", "tokens", "n - size(tokens) AS alone", f"n - ({percent} * n + 99) div 100 + 1 AS prefix")
+    first = order.selectExpr("class_id", "n", "alone", "posexplode(slice(tokens, 1, int(greatest(prefix - alone, 0)))) AS (at, t)").selectExpr("class_id", "n", "alone + at AS place", "t.token AS token")
+    first = written(first.join(crowd, "class_id"), "prefixes")
+    x = first.where(f"place < n - (2 * {percent} * n + {99 + percent}) div {100 + percent} + 1").alias("x")
+    fits = f"(x.n < y.n OR x.n = y.n AND x.class_id < y.class_id) AND 100 * x.n >= {percent} * y.n AND {100 + percent} * least(x.n - x.place, y.n - y.place) >= {percent} * (x.n + y.n)"
+    pairs = x.join(first.alias("y"), F.expr(f"x.token = y.token AND x.component <> y.component AND {fits}"))
+    return pairs.selectExpr("least(x.class_id, y.class_id) AS a", "greatest(x.class_id, y.class_id) AS b").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES, levels: int = LEVELS, star_trees: int = 4) -> DataFrame:
@@ -249,20 +265,29 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         "class-sketches",
     )
     # Classes that share any region at the first depth are all that can be linked; only their sets are made.
-    rows = classes.select("class_id", "sig").mapInArrow(_regions(trees, levels, levels), "region long, class_id long, tree int")
+    rows = classes.select("class_id", "sig").mapInArrow(_regions(trees, levels), "region long, class_id long, tree int")
     shared = rows.groupBy("region").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z")).where("a < z").select("region")
     needed = written(rows.join(shared, "region", "left_semi").select("class_id").distinct(), "needed")
     sets = written(texts.join(needed.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("class_id"), "text").mapInArrow(_sets(width), "class_id long, items binary"), "sets").dropDuplicates(["class_id", "items"])
     share = percent / 100
     margin = share - 4.5 * (share * (1 - share) / (trees * levels)) ** 0.5
     known = None
-    # First pass: stars, in a few trees and then, for what is still apart, in others. Second pass: the whole forest.
-    for some in (slice(0, star_trees), slice(star_trees, 3 * star_trees), None):
+    # Stars, in a few trees and then, for what is still apart, in others; then the whole forest; then its crowded regions.
+    for some in (slice(0, star_trees), slice(star_trees, 3 * star_trees), "forest", "crowds"):
         part = classes.join(needed, "class_id", "left_semi").withColumn("component", F.col("class_id"))
         if known is not None:
             part = part.drop("component").join(known.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
         part = written(part.select("class_id", "n_shingles", "component", "sig"), "parted")
-        pairs = _forest_pairs(part, trees, levels, percent, margin) if some is None else _star_pairs(part, trees, levels, percent, some)
+        if some == "forest":
+            pairs, crowded = _forest_pairs(part, trees, levels, percent, margin)
+        elif some == "crowds":  # all members of a crowded region are here, so regions that are now one component drop out
+            members = _open_members(part.join(crowded, "class_id", "left_semi"), trees, levels).where(F.col("m") > REGION)
+            crowd = written(part.join(members.select("class_id").distinct(), "class_id", "left_semi").select("class_id", "component"), "crowd")
+            if crowd.isEmpty():
+                break
+            pairs = _crowd_pairs(crowd, sets, percent)
+        else:
+            pairs = _star_pairs(part, trees, levels, percent, some)
         edges = _links(pairs, sets, percent)
         if known is not None:
             edges = edges.union(known.select(F.col("component").alias("a"), F.col("node").alias("b")))

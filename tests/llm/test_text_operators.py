@@ -177,6 +177,19 @@ def test_near_duplicates_against_brute_force(spark, data, width):
     assert all(r["n_shingles"] == len(shingle_set(dict(rows)[i], width)) and r["kept"] == (i == r["component_id"]) for i, r in got.items())
 
 
+def crowd_around_a_passage(n, passage, own, shared):
+    """Different texts around one passage; texts 2k and 2k + 1 also share ``shared`` words."""
+    common = " ".join(f"p{k}" for k in range(passage))
+    return [(i, " ".join([common, *(f"s{i // 2}x{k}" for k in range(shared)), *(f"o{i}x{k}" for k in range(own - shared))])) for i in range(n)]
+
+
+def test_links_inside_a_crowd_of_dissimilar_texts(spark):
+    rows = crowd_around_a_passage(600, 143, 30, 14)  # 0.70 between any two, 0.83 between the two of a pair
+    assert brute_components(rows[:40], 4) == {i: i - i % 2 for i in range(40)}
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 for i in range(600)}
+
+
 def test_near_duplicates_on_odd_rows(spark):
     got = minhash.near_duplicates(odd(spark), 4)
     assert got.count() == len(ODD)
