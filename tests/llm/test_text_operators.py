@@ -190,6 +190,12 @@ def test_links_inside_a_crowd_of_dissimilar_texts(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 for i in range(600)}
 
 
+def test_links_inside_a_crowd_with_equal_long_prefixes(spark):
+    rows = crowd_around_a_passage(1600, 180, 25, 8)  # 0.78 between any two: many agree in 16 minimum hashes of the passage
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 for i in range(1600)}
+
+
 def test_near_duplicates_on_odd_rows(spark):
     got = minhash.near_duplicates(odd(spark), 4)
     assert got.count() == len(ODD)
