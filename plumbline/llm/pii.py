@@ -266,7 +266,7 @@ def made_examples(count: int = 360, seed: int = 11) -> list[tuple[list[str], lis
 
     def email() -> str:
         name, host, end = word() + r.choice(("", number(2))), word(), r.choice(("com", "org", "net", "de"))
-        at, dot = r.choice(((" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" @ ", " . "), (" [at] ", " [dot] "), (" AT ", " DOT ")))
+        at, dot = r.choice(((" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" @ ", " . "), (" [at] ", " [dot] "), (" AT ", " DOT "), (" [at] ", "."), (" at ", "."), ("@", "[dot]"), (" chez ", " point "), (" at ", " punkt "), (" arroba ", " punto ")))
         return f"{name}{at}{host}{dot}{end}"
 
     def other() -> str:
@@ -307,7 +307,13 @@ def trained_field() -> SemiMarkovField:
     return field
 
 
-_ANCHOR = re.compile(r"[0-9]+|[\(\[{ ](?:at|AT|arroba)[\)\]} ][^\n]{1,30}?[\(\[{ .](?:dot|DOT|punto|\.)[\)\]} ]|\s@\s")
+def _one_of(words: set[str]) -> str:
+    """A pattern of one whole token out of ``words``."""
+    return "(?:" + "|".join(rf"(?<![^\W\d_]){w}(?![^\W\d_])" if w.isalpha() else re.escape(w) for w in sorted(words)) + ")"
+
+
+#: A number, or a token of _AT with one of _DOT at most as many tokens later as a candidate holds (group 1 ends there).
+_ANCHOR = re.compile(rf"[0-9]+|{_one_of(_AT)}(?=((?:[^\W\d_]++|[0-9]++|[^\S\n]{{1,2}}+|[^\w\s]|_){{1,14}}?{_one_of(_DOT)}))")
 _REACH = 60
 
 
@@ -323,8 +329,9 @@ def added_spans(text: str, base: dict[str, list[tuple[int, int]]], field: SemiMa
             k += 1
         if k < len(taken) and taken[k][0] < b:
             continue
+        b = max(b, m.end(1))
         if windows and a - _REACH <= windows[-1][1]:
-            windows[-1][1] = min(size, b + _REACH)
+            windows[-1][1] = max(windows[-1][1], min(size, b + _REACH))
         else:
             windows.append([max(0, a - _REACH), min(size, b + _REACH)])
     out: list[tuple[str, int, int]] = []

@@ -204,6 +204,13 @@ def test_near_duplicates_on_odd_rows(spark):
     assert kept.columns == odd(spark).columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "3", "4", "6", "7", "None"]
 
 
+@pytest.mark.parametrize("address", ["user [at] example.com", "user at example.com", "user@example[dot]com", "marie chez orange point fr", "hans at firma punkt de", f"user [at] {'long' * 12} [dot] com"])
+def test_spelled_addresses_without_a_number(address):
+    text = f"please contact {address} today"
+    spans = pii.found(text, pii.trained_field())[1]
+    assert [(k, text[a:b]) for k, a, b in spans] == [("email", address)]
+
+
 def test_components(spark):
     import random
 
