@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import contextvars
 import gc
 import os
 import shutil
@@ -14,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step holds at most (a single longer text is a step of its own).
 STEP_BYTES = 4 << 20
@@ -38,17 +41,17 @@ def lean() -> None:
     pa.default_memory_pool().release_unused()
 
 
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Where it is unset (tests, local mode) a temporary folder of this process is
-    made once and removed at exit.
+    Where it is unset in local mode (tests), a temporary folder of this process is made
+    once and removed at exit; on a cluster that is an error, as executors share no local folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _local_fallback:
         path = tempfile.mkdtemp(prefix="plumbline-")
         atexit.register(shutil.rmtree, path, ignore_errors=True)
@@ -56,27 +59,37 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_fallback[0]
 
 
-def checkpointing(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable, setting a folder only where none is set."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_made: contextvars.ContextVar = contextvars.ContextVar("made", default=None)
+
+
+@contextlib.contextmanager
+def tables(spark: SparkSession):
+    """Within it, what ``written`` makes is deleted at the end, but for the tables that are passed to the function it gives."""
+    made: dict[str, DataFrame] = {}
+    token = _made.set(made)
+    try:
+        yield lambda *kept: [made.pop(path) for path, df in list(made.items()) if any(df is k for k in kept)]
+    finally:
+        _made.reset(token)
+        for path in made:
+            dropped(spark, path)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: lineage ends here."""
-    spark = df.sparkSession
-    path = scratch(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out, path = written_to(df, label)
+    if (made := _made.get()) is not None:
+        made[path] = out
+    return out
 
 
 def written_to(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """Like ``written`` and also returns the path, for ``dropped``."""
+    """Like ``written``, for a table that the caller deletes: also returns the path, for ``dropped``."""
     spark = df.sparkSession
     path = scratch(spark, label)
     df.write.parquet(path)
@@ -101,6 +114,26 @@ def file_system(path: str):
     return fs.LocalFileSystem(), os.path.abspath(path)
 
 
+#: Rows of one key that a task may hold without being split.
+HOT_ROWS = 100_000
+
+
+def salted_join(rows: DataFrame, table: DataFrame, key: str, other: str, total: int, weights: DataFrame, least: int | None = None) -> DataFrame:
+    """``rows`` joined with ``table`` (a row or few a key) on ``key``, where one key may hold any share of the ``total`` rows.
+
+    ``weights``: ``key`` and ``weight``, its number of rows. Keys of more than ``max(HOT_ROWS, total / 1000)`` rows are fewer
+    than 1,000, whatever the input; they alone are broadcast, with their number of parts. Their rows are dealt
+    to the parts by ``other`` and their rows of ``table`` are repeated once for each part.
+    """
+    least = HOT_ROWS if least is None else least
+    if total <= least:
+        return rows.join(table, key)
+    hot = F.broadcast(weights.where(F.col("weight") > max(least, total // 1000)).select(key, F.ceil(F.col("weight") / least).cast("int").alias("__parts")))
+    dealt = rows.join(hot, key, "left").withColumn("__part", F.pmod(F.xxhash64(other), F.coalesce("__parts", F.lit(1))).cast("int")).drop("__parts")
+    copies = table.join(hot, key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__parts")
+    return dealt.join(copies, [key, "__part"]).drop("__part")
+
+
 def text_steps(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose ``column`` holds about ``limit`` bytes."""
     if not batch.num_rows:

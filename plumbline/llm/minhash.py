@@ -1,19 +1,21 @@
-"""MinHash near-duplicate detection with LSH regions and an exact join of the crowded ones.
+"""MinHash near-duplicate detection with an LSH forest and an exact join of its crowded regions.
 
-A document's set holds the distinct hashes of its word shingles. Documents with equal
-sets form a class. Each class has one signature of ``trees * levels`` minimum hashes; each
-tree has ``levels`` values of it, and classes that agree in all of them share a region of the
-tree.
+A document's set holds the distinct hashes of its word shingles. Documents with equal sets form a
+class. Each class has one signature of ``trees * levels`` minimum hashes. A tree of the forest is a
+sorted order of all signatures: tree t reads them from place ``t * levels`` on, and around. Classes with
+a common prefix of ``levels`` values stand together in an order: they are a region of it.
 
-The first pass links classes of a region to the region's smallest class, in a few trees and
-then in more for those still apart; links are confirmed on whole sets and closed to
-components. The second looks, in every tree, only at regions that still hold several
-components, estimates the similarity of their members from whole signatures, and confirms
-what remains. The third takes the classes of regions with more than REGION classes and still
-several components, and joins their sets exactly. Copies are never expanded into pairs.
+1. Neighbours: in the first orders every class is a candidate with the classes next to it, its longest
+   common prefixes, however deep those are. Links are confirmed on whole sets and closed to components;
+   a large group of copies becomes one component with a few pairs for each of its members.
+2. The same in all other orders, for classes in regions that still hold several components.
+3. Depth by region: a region of up to REGION classes that still holds several components is compared as a
+   whole, at its first depth. In a larger one neighbours at the greatest depth have been compared, and
+   what they leave goes to an exact prefix-filter join of whole sets, which loses no link however
+   many classes share a passage.
 
-A pair of similarity s is missed by all trees with probability ``(1 - s ** levels) **
-trees``: 3e-6 at 0.8 with the defaults, whatever the size of the regions.
+A pair of similarity s that shares no region is missed with probability ``(1 - s ** levels) ** trees``: 3e-6
+at 0.8 with the defaults, whatever the size of the regions. Copies are never expanded into pairs.
 
 Defined results: null, empty and blank texts have an empty set, are linked with nothing
 and form their own component; a text with fewer words than a shingle is one shingle;
@@ -32,10 +34,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import batch_words, column, lean, mixed, text_steps, written
+from plumbline.llm.common import batch_words, column, lean, mixed, salted_join, tables, text_steps, written
 from plumbline.llm.components import components
 
 TREES, LEVELS = 24, 4
+#: Values of an order that its sort compares; classes alike in all of them are in no particular order.
+DEPTH = 16
 #: Classes of a region whose pairs are compared directly; the classes of larger regions go through an exact join.
 REGION = 128
 
@@ -157,9 +161,14 @@ def confirmed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) that whole sets confirm. A class with many pairs is dealt in parts."""
+    pairs = written(pairs, "pairs")
+    total = pairs.count()
     left = sets.select(F.col("class_id").alias("a"), F.col("items").alias("items_a"))
     right = sets.select(F.col("class_id").alias("b"), F.col("items").alias("items_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "items_a", "items_b").mapInArrow(lambda it: confirmed(it, percent), "a long, b long")
+    degree = lambda key: pairs.groupBy(key).agg(F.count("*").alias("weight"))
+    both = salted_join(salted_join(pairs, left, "a", "b", total, degree("a")), right, "b", "a", total, degree("b"))
+    return both.select("a", "b", "items_a", "items_b").mapInArrow(lambda it: confirmed(it, percent), "a long, b long")
 
 
 def _region_pairs(percent: int, margin: float, order: np.ndarray):
@@ -191,12 +200,67 @@ def _region_pairs(percent: int, margin: float, order: np.ndarray):
     return run
 
 
-def _star_pairs(classes: DataFrame, trees: int, levels: int, percent: int, some: slice) -> DataFrame:
-    """Every class of a region with the region's smallest class, where their components differ and their sizes allow the similarity."""
-    rows = classes.mapInArrow(_regions(trees, levels, some), "region long, class_id long, n_shingles long, component long, tree int")
-    centre = rows.groupBy("region").agg(F.min_by(F.struct("class_id", "n_shingles", "component"), "class_id").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("region", "c")
-    fits = 100 * F.least("n_shingles", "c.n_shingles") >= percent * F.greatest("n_shingles", "c.n_shingles")
-    return rows.join(centre, "region").where((F.col("c.component") != F.col("component")) & fits).select(F.col("c.class_id").alias("a"), F.col("class_id").alias("b")).distinct()
+def _labels(trees: int, levels: int, depth: int, some: slice):
+    """A row for each class and tree: the first ``depth`` values of the tree's order as bytes that sort like the values."""
+    order = ((np.arange(trees) * levels)[:, None] + np.arange(depth)) % (trees * levels)
+    numbers, order = np.arange(trees, dtype=np.int32)[some], order[some]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, t = batch.num_rows, len(order)
+            if not n:
+                continue
+            sig = np.frombuffer(b"".join(column(batch, "sig").to_pylist()), np.uint32).reshape(n, -1)
+            data = pa.py_buffer(sig[:, order].astype(">u4").tobytes())
+            ends = pa.py_buffer((np.arange(n * t + 1) * (4 * depth)).astype(np.int32).tobytes())
+            at = pa.array(np.repeat(np.arange(n), t))
+            rest = [c for c in batch.schema.names if c != "sig"]
+            label = pa.Array.from_buffers(pa.binary(), n * t, [None, ends, data])
+            yield pa.RecordBatch.from_arrays([pa.array(np.tile(numbers, n)), label, *(column(batch, c).take(at) for c in rest)], names=["tree", "label", *rest])
+
+    return run
+
+
+def _next_ones(levels: int, depth: int, percent: int, reach: int):
+    """Pairs of rows up to ``reach`` places apart in a sorted order that share a region and whose components, sizes and labels allow a link.
+
+    A label's ``depth`` values estimate the similarity; two binomial deviations below ``percent`` are let through.
+    """
+    least = percent / 100 * depth - 2 * (depth * percent / 100 * (1 - percent / 100)) ** 0.5
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch] if last is None else [last, batch]).combine_chunks()
+            old = rows.num_rows - batch.num_rows
+            label = np.frombuffer(b"".join(rows.column("label").to_pylist()), np.uint32).reshape(rows.num_rows, depth)
+            tree, ids, comp, size = (rows.column(c).to_numpy() for c in ("tree", "class_id", "component", "n_shingles"))
+            a, b = [], []
+            for k in range(1, reach + 1):
+                x, y = np.arange(rows.num_rows - k), np.arange(k, rows.num_rows)
+                alike = label[x] == label[y]
+                fits = 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
+                good = (y >= old) & (tree[x] == tree[y]) & alike[:, :levels].all(1) & (alike.sum(1) >= least) & (comp[x] != comp[y]) & fits
+                a.append(np.minimum(ids[x], ids[y])[good])
+                b.append(np.maximum(ids[x], ids[y])[good])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+            last = batch.slice(max(0, batch.num_rows - reach))
+
+    return run
+
+
+def _neighbour_pairs(classes: DataFrame, trees: int, levels: int, percent: int, some: slice, reach: int) -> DataFrame:
+    """Candidates next to one another in the sorted orders ``some``.
+
+    Every order is dealt by ranges of its labels, so that a region of any size spreads over tasks; two
+    neighbours on both sides of a task's edge are left to the next steps.
+    """
+    depth = min(DEPTH, trees * levels)
+    rows = classes.mapInArrow(_labels(trees, levels, depth, some), "tree int, label binary, class_id long, n_shingles long, component long")
+    order = rows.repartitionByRange("tree", "label", "class_id").sortWithinPartitions("tree", "label", "class_id")
+    return order.mapInArrow(_next_ones(levels, depth, percent, reach), "a long, b long").distinct()
 
 
 def _forest_pairs(classes: DataFrame, trees: int, levels: int, percent: int, margin: float) -> tuple[DataFrame, DataFrame]:
@@ -236,27 +300,48 @@ def _crowd_pairs(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Sets are ordered from the rarest shingle on. Of two sets of the similarity, the larger one's first
     ``n - ceil(s * n) + 1`` and the smaller one's first ``n - ceil(2 * s / (1 + s) * n) + 1`` have a shingle in common, and
     from the first common one on enough are left for the overlap. No such pair is lost, however many classes share a passage.
+    Where most sets with a shingle are of one component, only the others are compared with all.
     """
-    tokens = sets.join(crowd, "class_id").select("class_id", "items").mapInArrow(_tokens, "class_id long, n long, mark long, token long")
-    often = written(tokens.groupBy("token").agg(F.count("*").alias("f")).where("f > 1"), "token-counts")
+    tokens = written(sets.join(crowd.select("class_id"), "class_id").select("class_id", "items").mapInArrow(_tokens, "class_id long, n long, mark long, token long"), "crowd-tokens")
+    total = tokens.count()
+    often = written(tokens.groupBy("token").agg(F.count("*").alias("weight")).where("weight > 1"), "token-counts")
     # Shingles of one set only come first and meet nothing: they are counted, not carried along.
-    order = tokens.join(often, "token").groupBy("class_id", "n", "mark").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("tokens"))
+    ranked = salted_join(tokens, often.withColumnRenamed("weight", "f"), "token", "class_id", total, often)
+    order = ranked.groupBy("class_id", "n", "mark").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("tokens"))
     order = order.selectExpr("class_id", "n", "tokens", "n - size(tokens) AS alone", f"n - ({percent} * n + 99) div 100 + 1 AS prefix")
     first = order.selectExpr("class_id", "n", "alone", "posexplode(slice(tokens, 1, int(greatest(prefix - alone, 0)))) AS (at, t)").selectExpr("class_id", "n", "alone + at AS place", "t.token AS token")
     first = written(first.join(crowd, "class_id"), "prefixes")
-    x = first.where(f"place < n - (2 * {percent} * n + {99 + percent}) div {100 + percent} + 1").alias("x")
+    # main: the component that most of a shingle's sets belong to; shingles of one component are done.
+    parts = first.groupBy("token", "component").agg(F.count("*").alias("own"))
+    main = parts.groupBy("token").agg(F.max_by("component", F.struct("own", "component")).alias("main"), F.count("*").alias("parts"), F.sum("own").alias("weight")).where("parts > 1")
+    main = written(main, "token-mains")
+    first = written(salted_join(first, main.select("token", "main"), "token", "class_id", first.count(), main.select("token", "weight")), "prefixes")
+    short = F.expr(f"place < n - (2 * {percent} * n + {99 + percent}) div {100 + percent} + 1")
     fits = f"(x.n < y.n OR x.n = y.n AND x.class_id < y.class_id) AND 100 * x.n >= {percent} * y.n AND {100 + percent} * least(x.n - x.place, y.n - y.place) >= {percent} * (x.n + y.n)"
-    pairs = x.join(first.alias("y"), F.expr(f"x.token = y.token AND x.component <> y.component AND {fits}"))
-    return pairs.selectExpr("least(x.class_id, y.class_id) AS a", "greatest(x.class_id, y.class_id) AS b").distinct()
+    met = lambda x, y: x.alias("x").join(y.alias("y"), F.expr(f"x.token = y.token AND x.component <> y.component AND {fits}")).selectExpr("least(x.class_id, y.class_id) AS a", "greatest(x.class_id, y.class_id) AS b")
+    minor, major = F.expr("component <> main"), F.expr("component = main")
+    return met(first.where(short & minor), first).union(met(first.where(short & major), first.where(minor))).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES, levels: int = LEVELS, star_trees: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES, levels: int = LEVELS, first_trees: int = 8) -> DataFrame:
     """Component of each document under links of word-shingle similarity of ``percent`` or more.
 
     Returns ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable) and ``kept``
     (whether the document is that one).
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    with tables(docs.sparkSession) as keep:
+        sketched, ids, known = _linked(texts, width, percent, trees, levels, first_trees)
+        keep(sketched, ids, known)
+    last = known.withColumnRenamed("node", "class_id")
+    named = ids.join(last, "class_id", "left").select("k1", "k2", "n_shingles", F.coalesce("component", "class_id").alias("component_id"))
+    rows = sketched.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2", "n_shingles"], "left")
+    component: Column = F.coalesce("component_id", "doc_id")
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+def _linked(texts: DataFrame, width: int, percent: int, trees: int, levels: int, first_trees: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Tables of the documents' sketches, of the classes, and of the components of linked classes."""
     sketched = written(texts.mapInArrow(_sketching(width, trees, levels), "doc_id long, n_shingles long, k1 long, k2 long, sig binary"), "sketches")
     ids = sketched.where("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("class_id"))
     ids = written(ids, "classes")
@@ -272,36 +357,39 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     share = percent / 100
     margin = share - 4.5 * (share * (1 - share) / (trees * levels)) ** 0.5
     known = None
-    # Stars, in a few trees and then, for what is still apart, in others; then the whole forest; then its crowded regions.
-    for some in (slice(0, star_trees), slice(star_trees, 3 * star_trees), "forest", "crowds"):
-        part = classes.join(needed, "class_id", "left_semi").withColumn("component", F.col("class_id"))
+    open_ids, crowded = needed, None
+    for step in ("neighbours", "deeper", "forest", "crowds"):
+        part = classes.join(open_ids, "class_id", "left_semi").withColumn("component", F.col("class_id"))
         if known is not None:
             part = part.drop("component").join(known.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
         part = written(part.select("class_id", "n_shingles", "component", "sig"), "parted")
-        if some == "forest":
+        if step == "neighbours":
+            pairs = _neighbour_pairs(part, trees, levels, percent, slice(0, first_trees), 1)
+        elif step == "deeper":
+            # Regions of one component have nothing left to find; all members of the others are here from now on.
+            open_ids = written(_open_members(part, trees, levels).select("class_id").distinct(), "open")
+            pairs = _neighbour_pairs(part.join(open_ids, "class_id", "left_semi"), trees, levels, percent, slice(first_trees, None), 2)
+        elif step == "forest":
             pairs, crowded = _forest_pairs(part, trees, levels, percent, margin)
-        elif some == "crowds":  # all members of a crowded region are here, so regions that are now one component drop out
+        else:  # all members of a crowded region are here, so regions that are now one component drop out
             members = _open_members(part.join(crowded, "class_id", "left_semi"), trees, levels).where(F.col("m") > REGION)
             crowd = written(part.join(members.select("class_id").distinct(), "class_id", "left_semi").select("class_id", "component"), "crowd")
             if crowd.isEmpty():
                 break
             pairs = _crowd_pairs(crowd, sets, percent)
-        else:
-            pairs = _star_pairs(part, trees, levels, percent, some)
         edges = _links(pairs, sets, percent)
         if known is not None:
             edges = edges.union(known.select(F.col("component").alias("a"), F.col("node").alias("b")))
         known = written(components(edges), "components")
-    last = known.withColumnRenamed("node", "class_id")
-    named = ids.join(last, "class_id", "left").select("k1", "k2", "n_shingles", F.coalesce("component", "class_id").alias("component_id"))
-    rows = sketched.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2", "n_shingles"], "left")
-    component: Column = F.coalesce("component_id", "doc_id")
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    return sketched, ids, known
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` (``doc_id``, ``text`` and others) that near_duplicates keeps; rows without an id stay."""
     kept = written(near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("__kept_id")).distinct(), "kept")
     named = docs.where("doc_id is not null")
-    joined = named.join(kept, named["doc_id"] == kept["__kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return joined.union(docs.where("doc_id is null"))
+    joined = named.join(kept, named["doc_id"] == kept["__kept_id"], "left_semi")
+    # an id's rows of other texts stay, as their similarity may be anything; of equal texts the first in order of the other columns does
+    others = F.to_json(F.struct(*(c for c in docs.columns if c not in ("doc_id", "text")), F.lit(0).alias("__end")))
+    once = joined.groupBy("doc_id", F.sha1(F.coalesce("text", F.lit("")).cast("binary")).alias("__text_key")).agg(F.min_by(F.struct(*docs.columns), others).alias("__row"))
+    return once.select("__row.*").union(docs.where("doc_id is null"))

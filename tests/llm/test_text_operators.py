@@ -196,6 +196,25 @@ def test_links_inside_a_crowd_with_equal_long_prefixes(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 for i in range(1600)}
 
 
+def test_links_between_pages_of_one_template(spark):
+    rows = crowd_around_a_passage(3000, 353, 47, 9)  # 400 words: 0.79 between any two, 0.83 between the two of a pair
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), 4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 for i in range(3000)}
+
+
+def test_neighbours_share_a_region_whatever_the_size_of_their_group(spark):
+    base = " ".join(f"w{k}" for k in range(300))
+    rows = [(k, base.replace(f"w{k % 300} ", f"z{k} ")) for k in range(2000)]  # one group of 2,000 different texts
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), 5).collect()
+    assert len(got) == 2000 and {r["component_id"] for r in got} == {0}
+
+
+def test_rows_of_one_id_with_other_texts_stay(spark):
+    rows = [(1, "a b c d e f", 1), (1, "a b c d e f", 0), (1, "g h i j k l", 2), (2, "a b c d e f", 3)]
+    kept = minhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, n int"))
+    assert sorted(map(tuple, kept.collect())) == [(1, "a b c d e f", 0), (1, "g h i j k l", 2)]
+
+
 def test_near_duplicates_on_odd_rows(spark):
     got = minhash.near_duplicates(odd(spark), 4)
     assert got.count() == len(ODD)
@@ -211,6 +230,33 @@ def test_spelled_addresses_without_a_number(address):
     assert [(k, text[a:b]) for k, a, b in spans] == [("email", address)]
 
 
+def test_hot_keys_are_dealt_in_parts(spark):
+    from plumbline.llm.common import salted_join
+
+    rows = spark.createDataFrame([(0, k) for k in range(500)] + [(k, k) for k in range(1, 50)], "k long, v long")
+    sides = spark.createDataFrame([(k, str(k)) for k in range(40)], "k long, s string")
+    weights = rows.groupBy("k").agg(F.count("*").alias("weight"))
+    got = salted_join(rows, sides, "k", "v", 549, weights, least=20)
+    assert sorted(map(tuple, got.select("k", "v", "s").collect())) == sorted((r["k"], r["v"], str(r["k"])) for r in rows.collect() if r["k"] < 40)
+    star = spark.createDataFrame([(7, k) for k in range(8, 400)], "a long, b long")
+    assert {r["component"] for r in components(star, hot_rows=30).collect()} == {7}
+    assert components(star.where("false")).count() == 0
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from plumbline.llm.common import shared_dir
+
+    class Of:
+        def __init__(self, **kw):
+            self.__dict__.update(kw)
+
+        def get(self, key, default):
+            return default
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Of(conf=Of(), sparkContext=Of(master="spark://host:7077")))
+
+
 def test_components(spark):
     import random
 
@@ -238,7 +284,3 @@ def test_signatures_estimate_similarity():
     sig = minhash.signatures(h, bounds, 96)
     a, b = set(h[: bounds[1]]), set(h[bounds[1] :])
     assert abs(np.mean(sig[0] == sig[1]) - len(a & b) / len(a | b)) < 0.15
-
-
-def test_function_columns_are_only_words(spark):
-    assert set(quality.rules()) and F.lit(1) is not None
