@@ -14,6 +14,7 @@ Repeated rows give repeated results; extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import math
@@ -169,7 +170,11 @@ def candidates(tokens: list[str]) -> list[Candidate]:
                     bracket = any(x in "([{" for x in span)
                     spelled = span[marks[0]] != "@"
                     gaps = sum(x.isspace() for x in span)
-                    out.append(Candidate(a, b, 0, ("bias", "spelled_at" if spelled else "sign_at", "spelled_dot" if span[dots[-1]] != "." else "sign_dot", "bracket" if bracket else "no_bracket", f"gaps_{min(gaps, 6)}", "known_end" if span[-1].lower() in ("com", "org", "net", "edu", "de", "fr", "es", "io") else "other_end", *_edges(tokens, a, b), *(["cue"] if {w.lower() for w in tokens[max(0, a - 6) : a]} & _CUES["email"] else []))))
+                    local = [x for x in span[: marks[0]] if not x.isspace() and x not in _DOT and x not in "([{"]
+                    joints = sum(x in _DOT for x in span[: marks[0]])
+                    whole = "plain_local" if len(local) == 1 else "joined_local" if joints and len(local) == joints + 1 else "loose_local" if joints else "many_locals"
+                    joint_before = a > 2 and tokens[a - 2] in _DOT and tokens[a - 1].isspace() and tokens[a - 3].isspace()
+                    out.append(Candidate(a, b, 0, ("bias", "spelled_at" if spelled else "sign_at", "spelled_dot" if span[dots[-1]] != "." else "sign_dot", whole, *(["joint_before"] if joint_before else []), "bracket" if bracket else "no_bracket", f"gaps_{min(gaps, 6)}", "known_end" if span[-1].lower() in ("com", "org", "net", "edu", "de", "fr", "es", "io") else "other_end", *_edges(tokens, a, b), *(["cue"] if {w.lower() for w in tokens[max(0, a - 6) : a]} & _CUES["email"] else []))))
     return out
 
 
@@ -267,6 +272,8 @@ def made_examples(count: int = 360, seed: int = 11) -> list[tuple[list[str], lis
     def email() -> str:
         name, host, end = word() + r.choice(("", number(2))), word(), r.choice(("com", "org", "net", "de"))
         at, dot = r.choice(((" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" @ ", " . "), (" [at] ", " [dot] "), (" AT ", " DOT "), (" [at] ", "."), (" at ", "."), ("@", "[dot]"), (" chez ", " point "), (" at ", " punkt "), (" arroba ", " punto ")))
+        if r.random() < 0.3 and dot.strip() != ".":
+            name = f"{word()}{dot if dot[0] == ' ' else ' dot '}{name}"
         return f"{name}{at}{host}{dot}{end}"
 
     def other() -> str:
@@ -312,42 +319,59 @@ def _one_of(words: set[str]) -> str:
     return "(?:" + "|".join(rf"(?<![^\W\d_]){w}(?![^\W\d_])" if w.isalpha() else re.escape(w) for w in sorted(words)) + ")"
 
 
-#: A number, or a token of _AT with one of _DOT at most as many tokens later as a candidate holds (group 1 ends there).
-_ANCHOR = re.compile(rf"[0-9]+|{_one_of(_AT)}(?=((?:[^\W\d_]++|[0-9]++|[^\S\n]{{1,2}}+|[^\w\s]|_){{1,14}}?{_one_of(_DOT)}))")
+#: Each token of _AT as a pattern that begins with its letters, which is what makes the search fast.
+_AT_TOKENS = [re.compile(rf"{w}(?<![^\W\d_]{w})(?![^\W\d_])" if w.isalpha() else re.escape(w)) for w in sorted(_AT)]
+#: After it, a token of _DOT at most as many tokens later as a candidate holds.
+_DOT_NEXT = re.compile(rf"(?:[^\W\d_]++|[0-9]++|[^\S\n]{{1,2}}+|[^\w\s]|_){{1,14}}?{_one_of(_DOT)}")
 _REACH = 60
 
 
+def anchors(text: str) -> list[tuple[int, int]]:
+    """Where the field has to read, in order: every number, and every spelled-out address from its "at" to its first "dot"."""
+    out = [m.span() for m in _DIGIT.finditer(text)]
+    for pattern in _AT_TOKENS:
+        for m in pattern.finditer(text):
+            if dot := _DOT_NEXT.match(text, m.end()):
+                out.append((m.start(), dot.end()))
+    return sorted(out)
+
+
 def added_spans(text: str, base: dict[str, list[tuple[int, int]]], field: SemiMarkovField) -> list[tuple[str, int, int]]:
-    """Spans that the field finds outside the base ones."""
-    taken = sorted(s for spans in base.values() for s in spans)
-    size = len(text)
+    """Spans that the field finds outside the base ones, in order and without overlaps; the work grows with the text."""
+    free = _gaps(sorted(s for spans in base.values() for s in spans), len(text))
+    ends = [e for _, e in free]
     windows: list[list[int]] = []
-    k = 0
-    for m in _ANCHOR.finditer(text):
-        a, b = m.span()
-        while k < len(taken) and taken[k][1] <= a:
-            k += 1
-        if k < len(taken) and taken[k][0] < b:
+    for a, b in anchors(text):
+        k = bisect.bisect_right(ends, a)
+        if k == len(free) or b <= free[k][0]:  # inside a base span
             continue
-        b = max(b, m.end(1))
         if windows and a - _REACH <= windows[-1][1]:
-            windows[-1][1] = max(windows[-1][1], min(size, b + _REACH))
+            windows[-1][1] = max(windows[-1][1], min(len(text), b + _REACH))
         else:
-            windows.append([max(0, a - _REACH), min(size, b + _REACH)])
+            windows.append([max(0, a - _REACH), min(len(text), b + _REACH)])
     out: list[tuple[str, int, int]] = []
-    if not windows:
-        return out
-    starts = [s for s, _ in taken]
     for a, b in windows:
         # base spans cut a window; the field reads the pieces between them
-        lo = a
-        for s, e in [*(t for t in taken if t[1] > a and t[0] < b), (b, b)] if starts else [(b, b)]:
-            if s > lo:
-                out += _read(text, lo, s, field)
-            lo = max(lo, e)
+        k = bisect.bisect_right(ends, a)
+        while k < len(free) and free[k][0] < b:
+            s, e = free[k]
+            for kind, x, y in _read(text, max(a, s), min(b, e), field):
+                if x >= s and y <= e and (not out or x >= out[-1][2]):
+                    out.append((kind, x, y))
+            k += 1
     return out
 
 
+def _gaps(spans: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
+    """What sorted ``spans`` leave of ``size`` places."""
+    out, at = [], 0
+    for a, b in spans:
+        if a > at:
+            out.append((at, a))
+        at = max(at, b)
+    return [*out, (at, size)] if at < size else out
+
+
 def _read(text: str, a: int, b: int, field: SemiMarkovField) -> list[tuple[str, int, int]]:
     # whole tokens only: a window never cuts through a word or number
     if a >= b:
@@ -367,13 +391,7 @@ def spans_text(spans: list[tuple[str, int, int]]) -> str:
 
 def found(text: str, field: SemiMarkovField) -> tuple[dict[str, list[tuple[int, int]]], list[tuple[str, int, int]]]:
     base = base_spans(text)
-    own = sorted(s for spans in base.values() for s in spans)
-    extra = []
-    if own or _ANCHOR.search(text):
-        for kind, a, b in sorted(set(added_spans(text, base, field)), key=lambda s: (s[1], s[2])):
-            if all(b <= s or a >= e for s, e in own) and (not extra or a >= extra[-1][2]):
-                extra.append((kind, a, b))
-    return base, extra
+    return base, added_spans(text, base, field)
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: bool = False) -> DataFrame:
