@@ -91,25 +91,77 @@ def test_neighbours_against_brute_force(spark):
     assert hits >= 0.97 * 20 * len(got)
 
 
+def recall(spark, ids, v, asked, **kw):
+    """Share of the true nearest that are found; checks ranks and scores on the way."""
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(df, df.where(F.col("vec_id").isin([int(x) for x in asked])), k=20, **kw).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    hits = 0
+    for q in asked:
+        s = v @ v[ids == q][0]
+        found = sorted(got[q])
+        assert [f[0] for f in found] == list(range(1, 21))
+        assert all(score == pytest.approx(s[ids == i][0], rel=1e-9, abs=1e-12) for _, i, score in found)
+        best = [i for i in ids[np.lexsort((ids, -s))].tolist() if i != q][:20]
+        hits += len({f[1] for f in found} & set(best))
+    return hits / (20 * len(asked))
+
+
+def test_neighbours_over_many_blocks(spark, capsys):
+    r = np.random.default_rng(3)
+    ids, v = np.arange(6000), r.standard_normal((6000, 64))
+    found = recall(spark, ids, v, ids[::60], block=64 * 700)  # nine blocks
+    with capsys.disabled():
+        print(f" recall over nine blocks: {found:.4f}", end=" ")
+    assert found >= 0.97
+
+
+def test_repeated_vectors_and_ties_across_blocks(spark):
+    v = np.tile([1.0, 2.0, 0.5], (300, 1))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)] + [(5, v[5].tolist())], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r)[:3] for r in neighbours.nearest(df, df.where("vec_id = 7 or vec_id = 0").distinct(), k=6, block=3 * 40).collect())
+    assert got == [(0, 1, 1), (0, 2, 2), (0, 3, 3), (0, 4, 4), (0, 5, 5), (0, 6, 5), (7, 1, 0), (7, 2, 1), (7, 3, 2), (7, 4, 3), (7, 5, 4), (7, 6, 5)]
+
+
+@pytest.mark.parametrize("size", [1e-200, 1e-310, 1e160, 1e300])
+def test_vectors_of_extreme_length(spark, size):
+    r = np.random.default_rng(5)
+    v = r.standard_normal((525, 16))
+    v[:25] *= size
+    ids = np.arange(525)
+    with np.errstate(all="ignore"):
+        asked = ids[30::50]
+        df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v)], "vec_id long, embedding array<double>")
+        got = {}
+        for x in neighbours.nearest(df, df.where(F.col("vec_id").isin([int(x) for x in asked])), k=20).collect():
+            got.setdefault(x["query_id"], set()).add(x["vec_id"])
+        hits = sum(len(got[q] & set([i for i in ids[np.lexsort((ids, -(v @ v[q])))].tolist() if i != q][:20])) for q in asked)
+    assert hits >= 0.95 * 20 * len(asked)
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
-    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, [1.0]), (9, [-1.0, 0.5]), (None, [1.0, 1.0]), (20, [])]
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, [1.0]), (9, [-1.0, 0.5]), (None, [1.0, 1.0]), (20, []), (30, [1.0, 2.0, 2.0]), (31, [2.0, 0.0, 1.0])]
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, score string")
     got = sorted(tuple(r)[:4] for r in neighbours.nearest(df, df, k=2).collect())
-    assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (1, 1, 0, 1.0), (1, 2, 2, 1.0), (2, 1, 0, 1.0), (2, 2, 1, 1.0), (9, 1, 0, -1.0), (9, 2, 1, -1.0)]
+    assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (1, 1, 0, 1.0), (1, 2, 2, 1.0), (2, 1, 0, 1.0), (2, 2, 1, 1.0), (9, 1, 0, -1.0), (9, 2, 1, -1.0), (30, 1, 31, 4.0), (31, 1, 30, 4.0)]
     assert neighbours.nearest(df.where("false"), df.where("false")).count() == 0
 
 
-def test_estimates_lie_within_their_bounds():
+@pytest.mark.parametrize("size", [64, 100])
+def test_estimates_lie_within_their_bounds(size):
     r = np.random.default_rng(7)
-    v, turn = r.standard_normal((500, 64)), neighbours.rotation(64)
-    assert np.allclose(turn @ turn.T, np.eye(64))
+    v, turn = r.standard_normal((500, size)), neighbours.rotation(size)
+    assert np.allclose(turn @ turn.T, np.eye(size))
     code, factor, length = neighbours.encode(v, turn)
-    signs = np.unpackbits(code, axis=1).astype(float) * 2 - 1
-    q = r.standard_normal((50, 64))
-    estimate = ((q @ turn) @ signs.T) * (length / (factor * 8))
-    error = np.linalg.norm(q, axis=1)[:, None] * length * np.sqrt(1 - factor**2) / factor * 3 / np.sqrt(63)
-    assert (np.abs(estimate - q @ v.T) <= error).mean() > 0.99
+    assert code.nbytes == 500 * 8 * -(-size // 64) and np.allclose(length, np.linalg.norm(v, axis=1))
+    unit, _ = neighbours.lengths(r.standard_normal((50, size)))
+    asked = neighbours.Asked(unit, turn)
+    cosine = asked.cosines(0, 50, code, np.bitwise_count(code).sum(1, dtype=np.int64), factor)
+    true = unit @ (v / length[:, None]).T
+    error = 3 * (np.sqrt(1 - factor**2) / factor / np.sqrt(size - 1) + asked.step[:, None] / np.sqrt(12) / factor)
+    assert (np.abs(cosine - true) <= error).mean() > 0.99 and abs((cosine - true).mean()) < 0.01
 
 
 def test_pipeline(spark):
