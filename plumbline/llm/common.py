@@ -118,7 +118,7 @@ def file_system(path: str):
 HOT_ROWS = 100_000
 
 
-def salted_join(rows: DataFrame, table: DataFrame, key: str, other: str, total: int, weights: DataFrame, least: int | None = None) -> DataFrame:
+def salted_join(rows: DataFrame, table: DataFrame, key: str, other: str, total: int, weights: DataFrame, least: int | None = None, how: str = "inner") -> DataFrame:
     """``rows`` joined with ``table`` (a row or few a key) on ``key``, where one key may hold any share of the ``total`` rows.
 
     ``weights``: ``key`` and ``weight``, its number of rows. Keys of more than ``max(HOT_ROWS, total / 1000)`` rows are fewer
@@ -127,11 +127,11 @@ def salted_join(rows: DataFrame, table: DataFrame, key: str, other: str, total:
     """
     least = HOT_ROWS if least is None else least
     if total <= least:
-        return rows.join(table, key)
+        return rows.join(table, key, how)
     hot = F.broadcast(weights.where(F.col("weight") > max(least, total // 1000)).select(key, F.ceil(F.col("weight") / least).cast("int").alias("__parts")))
     dealt = rows.join(hot, key, "left").withColumn("__part", F.pmod(F.xxhash64(other), F.coalesce("__parts", F.lit(1))).cast("int")).drop("__parts")
     copies = table.join(hot, key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__parts")
-    return dealt.join(copies, [key, "__part"]).drop("__part")
+    return dealt.join(copies, [key, "__part"], how).drop("__part")
 
 
 def text_steps(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes the archives, reads them back, and takes every column from the records read."""
+    """Writes the archives, reads them back, and takes every column from the records read; the archives are the result's files and stay."""
     from plumbline.llm.common import scratch, written
     from plumbline.llm.warc import read_archives, transactions, write_archives
 

@@ -8,9 +8,12 @@ their concurrent-to identifiers into one nested row.
 Of captures with equal payloads of at least ``revisit_from`` bytes, the one with the smallest id is
 the response and the others revisit it.
 
+A capture is named by its id, url and payload digest; rows alike in all three are one capture that was
+written several times, and are read back as so many transactions.
+
 Defined results: a null payload is empty; a null url has no target header and reads back null; a null
-id is always a response; repeated rows of the smallest id are all responses; an empty table
-writes no record; extra columns are ignored. Line ends in a url are percent-encoded in its header.
+id is always a response; repeated rows of the smallest id are all responses, and a revisit names the one with the least
+url (null first); an empty table writes no record; extra columns are ignored. Line ends in a url are percent-encoded in its header.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import column, file_system, text_steps, written
+from plumbline.llm.common import column, file_system, salted_join, tables, text_steps, written
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -40,6 +43,10 @@ def record_id(kind: str, capture: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(SPACE, f'{kind}:{capture}')}>"
 
 
+def capture_name(page: int, url: str | None, digest: str) -> str:
+    return f"{page}|{digest}|{'' if url is None else f'+{url}'}"
+
+
 def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
@@ -85,15 +92,14 @@ def _writing(folder: str, level: int):
 
         for batch in batches:
             for step in text_steps(batch, "payload"):
-                for page, url, payload, first in zip(*(column(step, c).to_pylist() for c in ("page_id", "url", "payload", "first_id"))):
+                for page, url, payload, digest, first, first_url in zip(*(column(step, c).to_pylist() for c in ("page_id", "url", "payload", "digest", "first_id", "first_url"))):
                     if out is None:
                         name, size = f"{stem}-{len(files):04d}.warc.gz", 0
                         out = fs.open_output_stream(f"{top}/{name}.tmp", compression=None)
                         files.append([name, 0, 0])
-                    payload = payload or b""
-                    # a row's name is its id; rows without one are told apart by their place
-                    capture = str(page) if page is not None else f"none-{stem}-{row}"
-                    for data in capture_records(capture, page, url, payload, base32_sha1(payload), None if first is None or first == page else str(first)):
+                    # rows without an id are told apart by their place
+                    capture = capture_name(page, url, digest) if page is not None else f"none-{stem}-{row}"
+                    for data in capture_records(capture, page, url, payload, base64.b32encode(bytes.fromhex(digest)).decode(), None if first is None else capture_name(first, first_url, digest)):
                         z = zlib.compressobj(level, zlib.DEFLATED, 31)
                         data = z.compress(data) + z.flush()
                         out.write(data)
@@ -113,14 +119,20 @@ def _writing(folder: str, level: int):
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", revisit_from: int = 0, level: int = 6) -> DataFrame:
     """Write all captures; returns the manifest (``name, records, bytes``) of the finished archives.
 
-    Payloads move only if their capture is a revisit's neighbour in the join; equal payloads meet as digests.
+    Equal payloads meet as digests; a digest with many pages is dealt in parts. Payloads move only if
+    the revisits are too many to be broadcast.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload")).withColumn("digest", F.sha1("payload"))
-    slim = rows.where(F.octet_length("payload") >= revisit_from).select("page_id", "digest")
-    firsts = slim.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.max("page_id").alias("last_id")).where("first_id < last_id").select("digest", "first_id")
-    revisits = written(slim.join(firsts, "digest").where("page_id > first_id").select("page_id", "digest", "first_id").distinct(), "revisits")
-    known = rows.join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "payload", "first_id")
-    return written(known.mapInArrow(_writing(folder, level), "name string, records long, bytes long"), "warc-manifest")
+    with tables(pages.sparkSession) as keep:
+        slim = written(rows.where((F.octet_length("payload") >= revisit_from) & F.col("page_id").isNotNull()).select("page_id", "url", "digest"), "digests")
+        firsts = slim.groupBy("digest").agg(F.min(F.struct("page_id", "url")).alias("first"), F.max("page_id").alias("last_id"), F.count("*").alias("weight")).where("first.page_id < last_id")
+        firsts = written(firsts.selectExpr("digest", "first.page_id AS first_id", "first.url AS first_url", "weight"), "firsts")
+        revisits = salted_join(slim.select("page_id", "digest"), firsts.drop("weight"), "digest", "page_id", slim.count(), firsts.select("digest", "weight")).where("page_id > first_id")
+        revisits = written(revisits.select("page_id", "digest", "first_id", "first_url").distinct(), "revisits")
+        known = rows.join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "payload", "digest", "first_id", "first_url")
+        manifest = written(known.mapInArrow(_writing(folder, level), "name string, records long, bytes long"), "warc-manifest")
+        keep(manifest)
+    return manifest
 
 
 def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -192,12 +204,18 @@ def transactions(records: DataFrame) -> DataFrame:
     """One nested row per capture.
 
     Returns ``capture_id`` and the structs ``request``, ``response`` (or revisit) and ``metadata``, with
-    ``response.refers_page`` the id of the page whose response a revisit names.
+    ``response.refers_page`` the id of the page whose response a revisit names (null if its record is not there).
     """
-    main = records.where("kind in ('response', 'revisit')")
-    side = lambda kind, name: records.where(F.col("kind") == kind).select(F.col("concurrent_to").alias("capture_id"), F.struct("record_id", "target", "page_id").alias(name))
-    captures = main.withColumnRenamed("record_id", "capture_id").join(side("request", "request"), "capture_id", "left").join(side("metadata", "metadata"), "capture_id", "left")
-    pages = records.where("kind = 'metadata'").select(F.col("concurrent_to").alias("refers_to"), F.col("page_id").alias("refers_page")).dropDuplicates(["refers_to"])
-    captures = captures.join(pages, "refers_to", "left")
     extra = [c for c in ("payload",) if c in records.columns]
-    return captures.select("capture_id", "request", F.struct("kind", "target", "refers_to", "declared", "digest", "payload_bytes", "refers_page", *extra).alias("response"), "metadata")
+    # Records of one id are copies of one record: they are counted, joined once and given back as often.
+    own = [c for c in records.columns if c not in ("record_id", "page_id", *extra)]
+    main = records.where("kind in ('response', 'revisit')").groupBy(F.col("record_id").alias("capture_id"), *own).agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in extra))
+    side = lambda kind, name: records.where(F.col("kind") == kind).select(F.col("concurrent_to").alias("capture_id"), F.struct("record_id", "target", "page_id").alias(name)).dropDuplicates(["capture_id"])
+    captures = main.join(side("request", "request"), "capture_id", "left").join(side("metadata", "metadata"), "capture_id", "left")
+    # Only revisits look for the page that they refer to; a response with many revisits is dealt in parts.
+    revisits = records.where("refers_to IS NOT NULL")
+    pages = records.where("kind = 'metadata'").select(F.col("concurrent_to").alias("refers_to"), F.col("page_id").alias("refers_page")).dropDuplicates(["refers_to"])
+    known = salted_join(captures.where("refers_to IS NOT NULL"), pages.join(revisits.select("refers_to").distinct(), "refers_to", "left_semi"), "refers_to", "capture_id", revisits.count(), revisits.groupBy("refers_to").agg(F.count("*").alias("weight")), how="left")
+    rest = captures.where("refers_to IS NULL").withColumn("refers_page", F.lit(None).cast("long"))
+    every = rest.unionByName(known).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return every.select("capture_id", "request", F.struct("kind", "target", "refers_to", "declared", "digest", "payload_bytes", "refers_page", *extra).alias("response"), "metadata")
