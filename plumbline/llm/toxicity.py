@@ -1,29 +1,30 @@
 """Toxicity by maximum-scoring segments over token log-odds.
 
-1. Token weights: log-odds ratios between toxic and other labelled texts with an
-   informative Dirichlet prior (the pooled token distribution), counting a token
-   once a text; only tokens whose odds differ by several standard errors count.
-   Tokens are words and word beginnings, so that unseen inflections are weighed.
-   Every other token costs a constant, so that the expected score of a
-   background token is negative.
-2. Segments: a linear-time scan (Ruzzo and Tompa's) finds all maximal scoring
-   segments of a whole text.
-3. Calibration: segment scores are turned to Karlin-Altschul bits (``lambda * S
-   - ln(K * n)``, the extreme-value law of the best segment of n background
-   tokens); the evidence of all significant segments is mapped to a probability
-   by a logistic fit on training texts.
-
-Bounds, all parameters: at most ``train_limit`` labelled rows (chosen by a hash,
-about that many) train the model, at most ``vocabulary`` tokens are broadcast.
-
-Defined results: a null or empty text has no segment and gets the probability of a
-text without evidence; rows without a label are scored like others; repeated
-labels of an id count once each; without any label of one class every score is 0.
-Extra columns are ignored.
+1. Token scores: log-odds ratios between toxic and other labelled texts with an informative Dirichlet
+   prior (the pooled token distribution), counting a token once a text. Every token of the training
+   texts has one; it counts as far as it is certain, so its score is the bound of its log-odds that is
+   ``certainty`` deviations nearer to 0. Tokens are words and word beginnings, so that unseen
+   inflections are weighed; a word takes the score of its most certain token. Every word costs
+   ``cost``, so that the expected score of other texts is negative.
+2. Segments: a linear-time scan (Ruzzo and Tompa's) finds all maximal scoring segments of a whole text.
+3. Calibration: the best segment of n words of other texts follows an extreme-value law with
+   parameters lambda and K, fitted by maximum likelihood to the other training texts. A segment of score S
+   has ``lambda * S - ln(K * n)`` nats; it is significant above 0. The best r segments of a text are judged together by
+   Karlin and Altschul's law of their sum, and the least likely r is the text's evidence, which a
+   logistic fit on training texts maps to a probability.
+
+Bounds: at most about ``train_limit`` distinct labelled texts train the model (a parameter; all where there are fewer).
+Tokens whose score is 0 need no place in the table that is broadcast; it has 8 to 12 bytes for each other
+token of the training texts, and more than TABLE_TOKENS of them are an error.
+
+Defined results: a null or empty text has no segment and gets the least probability; rows without a label are
+scored like others; repeated labels of an id count once, contradicting ones not at all; without any
+label of one class every score is 0. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import batch_words, column, lean, mixed, row_of, text_steps, written
+from plumbline.llm.common import batch_words, column, lean, mixed, row_of, tables, text_steps, written
 
 EDGES = ".,;:!?\"'()[]{}<>*-_…«»„“”’‘"
 
@@ -92,110 +93,154 @@ def token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([tokens.dictionary, pa.array(bad), pa.array(every - bad)], names=["token", "bad", "good"])
 
 
-def maximal_segments(scores: list[float], gaps: list[int], cost: float) -> list[tuple[float, int, int]]:
-    """All maximal scoring segments of a sequence in which items of ``scores`` (positive) are
-    preceded by ``gaps`` items that cost ``cost`` each. Returns (score, first, last) in items.
+def maximal_segments(left: list[float], right: list[float]) -> list[tuple[float, int, int]]:
+    """All maximal scoring segments of a sequence, in order, as (score, first, last).
 
-    Ruzzo and Tompa's scan: one pass with a list of disjoint candidates, each with the
-    cumulative score before (left) and after it (right).
+    Its items are the positive ones of the sequence; ``left`` and ``right`` are the sums of the whole sequence before
+    and after each. Ruzzo and Tompa's scan in linear time: each candidate remembers the last one before
+    it with a smaller left sum, and a new least left sum makes all candidates final.
     """
-    total = 0.0
-    kept: list[list[float]] = []  # left, right, first, last
-    for k, (s, gap) in enumerate(zip(scores, gaps)):
-        total -= gap * cost
-        new = [total, total + s, k, k]
-        total += s
+    out: list[tuple[float, int, int]] = []
+    kept: list[tuple[float, float, int, int, int]] = []  # left, right, first, last, the candidate remembered
+    for k, (low, high) in enumerate(zip(left, right)):
+        first = k
         while True:
             j = len(kept) - 1
-            while j >= 0 and kept[j][0] >= new[0]:
-                j -= 1
-            if j < 0 or kept[j][1] >= new[1]:
-                kept.append(new)
+            while j >= 0 and kept[j][0] >= low:
+                j = kept[j][4]
+            if j < 0:
+                out += [(r - l, a, b) for l, r, a, b, _ in kept]
+                kept = [(low, high, first, k, -1)]
                 break
-            new[0], new[2] = kept[j][0], kept[j][2]
+            if kept[j][1] >= high:
+                kept.append((low, high, first, k, j))
+                break
+            low, first = kept[j][0], kept[j][2]
             del kept[j:]
-    return [(right - left, int(a), int(b)) for left, right, a, b in kept]
+    return out + [(r - l, a, b) for l, r, a, b, _ in kept]
+
+
+#: Evidence of a text without words, and the bound of all evidence.
+LEAST, MOST = -30.0, 1e4
 
 
-#: Bits from which a segment counts; below it, chance makes one in every few hundred texts.
-FLOOR = -6.0
+def evidence_of(nats: list[float]) -> float:
+    """Evidence of a text from its segments' nats.
+
+    For r segments of sum t the chance is about ``exp(-t) * t ** (r - 1) / (r! * (r - 1)!)``; looking at all r
+    costs a factor of 2 for each further segment. The negative logarithm of the least chance is the evidence.
+    """
+    if not nats:
+        return LEAST
+    x = sorted(nats, reverse=True)
+    best, total = x[0], 0.0
+    for r, v in enumerate(x, 1):
+        total += v
+        if v <= 0:
+            break
+        best = max(best, total - (r - 1) * math.log(max(total, 1.0)) + math.lgamma(r + 1) + math.lgamma(r) - (r - 1) * math.log(2))
+    return min(max(best, LEAST), MOST)
 
 
-def evidence_of(found: list[tuple[float, float, int, int]]) -> float:
-    return sum((max(bits - FLOOR, 0.0) for bits, *_ in found), 0.0)
+def hashes(words: pa.Array) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()), np.uint64, len(words))
 
 
 @dataclass
 class ToxicModel:
-    """Token weights with the calibration; ``evidence`` needs no Spark."""
+    """Token scores (sorted hashes) with the calibration; ``evidence`` needs no Spark."""
 
-    weights: dict[str, float] = field(default_factory=dict)
+    tokens: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    scores: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     cost: float = 1.0
     lam: float = 1.0
     log_k: float = 0.0
     slope: float = 0.0
     intercept: float = -50.0
 
-    def segments(self, text: pa.Array) -> list[list[tuple[float, float, int, int]]]:
-        """For each text its maximal segments as (bits, score, first word, last word)."""
-        codes, bounds, words = batch_words(text)
-        names = pa.array(list(self.weights), pa.string())
-        values = np.array([*self.weights.values(), 0.0])
+    def word_scores(self, words: pa.Array) -> np.ndarray:
+        """Score of each word: that of its token that is farthest from 0, less the cost of a word."""
         best = np.zeros(len(words))
-        for kind in tokens_of(words):
-            place = pc.fill_null(pc.index_in(kind, value_set=names), len(names)).to_numpy(zero_copy_only=False)
-            best = np.maximum(best, values[place])
-        w = best[codes]
+        if len(self.tokens) and len(words):
+            for kind in tokens_of(words):
+                h = hashes(kind)
+                at = np.minimum(np.searchsorted(self.tokens, h), len(self.tokens) - 1)
+                own = np.where(self.tokens[at] == h, self.scores[at], 0.0)
+                best = np.where(np.abs(own) > np.abs(best), own, best)
+        return best - self.cost
+
+    def best_and_segments(self, text: pa.Array) -> tuple[list[float], list[int], list[list[tuple[float, int, int]]]]:
+        """For each text the score of its best segment, one word at least, its words, and all maximal segments as (score, first word, last word)."""
+        codes, bounds, words = batch_words(text)
+        w = self.word_scores(words)[codes]
         hits = np.flatnonzero(w > 0)
         first = np.searchsorted(hits, bounds)
-        out: list[list[tuple[float, float, int, int]]] = [[] for _ in range(len(bounds) - 1)]
+        n = np.diff(bounds)
+        best = np.full(len(n), -np.inf)
+        some = np.flatnonzero(n)
+        if len(some):
+            best[some] = np.maximum.reduceat(w, bounds[some])
+        out: list[list[tuple[float, int, int]]] = [[] for _ in n]
         for d in np.flatnonzero(np.diff(first)):
             at = hits[first[d] : first[d + 1]] - bounds[d]
-            n = int(bounds[d + 1] - bounds[d])
-            gaps = np.diff(at, prepend=-1) - 1
-            level = self.log_k + math.log(n)
-            out[d] = [(self.lam * s - level, s, int(at[a]), int(at[b])) for s, a, b in maximal_segments(w[at + bounds[d]].tolist(), gaps.tolist(), self.cost)]
+            after = np.cumsum(w[bounds[d] : bounds[d + 1]])
+            right = after[at]
+            out[d] = [(s, int(at[a]), int(at[b])) for s, a, b in maximal_segments((right - w[bounds[d] + at]).tolist(), right.tolist())]
+            best[d] = max(s for s, *_ in out[d])
+        return best.tolist(), n.tolist(), out
+
+    def segments(self, text: pa.Array) -> list[list[tuple[float, int, int]]]:
+        """For each text its maximal segments as (nats, first word, last word); a text without any has the chance 1 and less the worse its best word is."""
+        out = []
+        for best, n, found in zip(*self.best_and_segments(text)):
+            level = self.log_k + math.log(max(n, 1))
+            out.append([(self.lam * s - level, a, b) for s, a, b in found] or ([(self.lam * best, -1, -1)] if n else []))
         return out
 
     def evidence(self, text: pa.Array) -> np.ndarray:
-        """Evidence of each text: its segments' bits, counted from ``FLOOR``."""
-        return np.array([evidence_of(found) for found in self.segments(text)], float)
+        return np.array([evidence_of([x for x, *_ in found]) for found in self.segments(text)], float)
 
     def probability(self, evidence: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.intercept + self.slope * np.log1p(evidence), -50, 50)))
+        return 1 / (1 + np.exp(-np.clip(self.intercept + self.slope * scaled(evidence), -50, 50)))
+
+
+def scaled(evidence: np.ndarray) -> np.ndarray:
+    """Evidence as the logistic fit takes it: beyond 50 nats more of it adds nothing."""
+    return np.clip(evidence, -10.0, 50.0)
 
 
-def fit_weights(rows: list[tuple[str, int, int]], n_bad: int, n_good: int, sum_bad: int, sum_good: int, vocabulary: int, least_root: float, least_odds: float = 4.2, alpha: float = 0.05) -> dict[str, float]:
-    """Dirichlet-smoothed log-odds of the tokens that lean to toxic.
+def token_score(alpha: float, certainty: float, n: dict[str, float]) -> Column:
+    """The score of a token from ``bad`` and ``good``, the numbers of toxic and other texts that hold it.
 
-    ``rows``: token with the numbers of toxic and other texts that hold it. ``alpha``: mass of the
-    Dirichlet prior as a share of all counts. Kept are log-odds of at least ``least_odds`` whose
-    likelihood ratio against independence has a signed root of at least ``least_root``.
+    ``n``: sums of both over all tokens. ``alpha``: mass of the Dirichlet prior as a share of all counts; a token's prior is
+    its share of the pooled counts.
     """
-    out = []
-    mass = alpha * max(sum_bad + sum_good, 1)
-    share = n_bad / (n_bad + n_good)
-    for token, bad, good in rows:
-        a = alpha * (bad + good)
-        b1, g1 = bad + a, good + a
-        delta = math.log(b1 / (sum_bad + mass - b1)) - math.log(g1 / (sum_good + mass - g1))
-        seen = bad / (bad + good)
-        root = math.sqrt(2 * (bad * math.log(seen / share) + (good * math.log((1 - seen) / (1 - share)) if good else 0.0)))
-        if token and seen > share and root >= least_root and delta >= least_odds:
-            out.append((-root, token, delta))
-    return {t: d for _, t, d in sorted(out)[:vocabulary]}
-
-
-def karlin_altschul(scores: np.ndarray, chances: np.ndarray) -> float:
-    """The positive root of ``sum(p * exp(lambda * s)) = 1``; the expected score must be negative."""
-    low, high = 0.0, 1.0
-    f = lambda x: float(np.log(np.sum(chances * np.exp(np.clip(x * scores, -700, 700)))))
-    while f(high) < 0 and high < 1e3:
-        high *= 2
-    for _ in range(80):
-        mid = (low + high) / 2
-        low, high = (mid, high) if f(mid) < 0 else (low, mid)
-    return (low + high) / 2
+    a = alpha * (F.col("bad") + F.col("good"))
+    mass = alpha * (n["bad"] + n["good"])
+    # the prior deals a token's mass to the classes as all mass is dealt
+    b, g = F.col("bad") + a * (n["bad"] / (n["bad"] + n["good"])), F.col("good") + a * (n["good"] / (n["bad"] + n["good"]))
+    odds = F.log(b / (n["bad"] + mass * n["bad"] / (n["bad"] + n["good"]) - b)) - F.log(g / (n["good"] + mass * n["good"] / (n["bad"] + n["good"]) - g))
+    return F.signum(odds) * F.greatest(F.abs(odds) - certainty * F.sqrt(1 / b + 1 / g), F.lit(0.0))
+
+
+def extreme_value_fit(best: np.ndarray, words: np.ndarray) -> tuple[float, float]:
+    """lambda and ln K of the law of best segments: ``exp(-K * n * exp(-lambda * S))`` is the chance that n words have none above S.
+
+    By maximum likelihood; of a text without a positive segment only that is known.
+    """
+    seen = best > 0
+    n, s = words[seen], best[seen]
+    none = float(words[~seen].sum())
+    if not seen.any():
+        return 1.0, -math.log(none + 1)
+
+    def fitted(lam: float) -> tuple[float, float]:
+        log_k = math.log(len(s)) - math.log(none + float((n * np.exp(-lam * s)).sum()))
+        return len(s) * (math.log(lam) + log_k) - lam * float(s.sum()) - len(s), log_k
+
+    grid = np.exp(np.linspace(math.log(0.02), math.log(20.0), 200))
+    lam = float(grid[int(np.argmax([fitted(x)[0] for x in grid]))])
+    return lam, fitted(lam)[1]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
@@ -212,48 +257,50 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
     return float(w[0]), float(w[1])
 
 
-def train_toxicity(labelled: DataFrame, vocabulary: int = 5_000, least_root: float = 5.5, least_count: int = 3) -> ToxicModel:
-    """Fit on ``labelled`` (``id``, ``text``, ``toxic`` 0 or 1), a bounded table."""
+#: Tokens with a score other than 0 that a model holds at most.
+TABLE_TOKENS = 5_000_000
+
+
+def train_toxicity(labelled: DataFrame, train_limit: int = 40_000, alpha: float = 0.02, certainty: float = 2.5, cost: float = 0.5) -> ToxicModel:
+    """Fit on ``labelled`` (``id``, ``text``, ``toxic`` 0 or 1)."""
     spark = labelled.sparkSession
     # One text of each group of near copies: words of a text that was copied often must not look like evidence.
     keyed = labelled.where("toxic in (0, 1)").select(F.col("id"), F.col("text"), F.col("toxic").cast("int").alias("toxic"))
     sketched = keyed.mapInArrow(with_sketch, f"id {dict(labelled.dtypes)['id']}, text string, toxic int, sketch long")
-    rows = written(sketched.groupBy("sketch", "toxic").agg(F.min_by("text", F.struct("id", "text")).alias("text")).select("text", "toxic"), "toxic-train")
-    counts = written(rows.mapInArrow(token_counts, "token string, bad long, good long").groupBy("token").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "toxic-tokens")
-    sums = counts.agg(F.sum("bad"), F.sum("good")).first()
-    classes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    n_bad, n_good = classes.get(1, 0), classes.get(0, 0)
-    if not (n_bad and n_good and sums[0] and sums[1]):
+    rows = written(sketched.groupBy("sketch", "toxic").agg(F.min_by("text", F.struct("id", "text")).alias("text")), "toxic-train")
+    rows = hashed_share(rows, "sketch", train_limit, rows.count())
+    counts = written(rows.select("text", "toxic").mapInArrow(token_counts, "token string, bad long, good long").where("token <> ''").groupBy("token").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "toxic-tokens")
+    sums = counts.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first().asDict()
+    if not (sums["bad"] and sums["good"]):
         return ToxicModel()
-    # A token can only matter if it is commoner among toxic texts; of these, the most frequent there are enough.
-    likely = counts.where((F.col("bad") >= least_count) & (F.col("bad") * n_good > F.col("good") * n_bad))
-    found = [tuple(r) for r in likely.orderBy(F.desc(F.col("bad") * n_good - F.col("good") * n_bad), "token").limit(4 * vocabulary).collect()]
-    model = ToxicModel(weights=fit_weights(found, n_bad, n_good, sums[0], sums[1], vocabulary, least_root))
-    if not model.weights:
-        return model
-    # Chance of each weighted token in background texts, from its text counts there; the rest carry the cost.
-    by_token = {t: g for t, _, g in found}
-    total_good = float(sums[1])
-    names = list(model.weights)
-    chance = np.array([(by_token[t] + 0.5) / (total_good + 1) for t in names])
-    score = np.array([model.weights[t] for t in names])
-    model.cost = max(0.25, 2.0 * float((chance * score).sum()))
-    rest = max(1.0 - chance.sum(), 1e-9)
-    model.lam = karlin_altschul(np.append(score, -model.cost), np.append(chance, rest))
-    model.log_k = math.log(max(float(chance.sum()), 1e-12))  # a segment can start where a weighted token stands
+    scored = counts.select("token", token_score(alpha, certainty, sums).cast("float").alias("score")).where("score <> 0").limit(TABLE_TOKENS + 1).toArrow()
+    if scored.num_rows > TABLE_TOKENS:
+        raise ValueError("the training texts hold too many tokens for a table in memory; choose a smaller train_limit")
+    h, values = hashes(scored.column("token").combine_chunks()), scored.column("score").to_numpy()
+    order = np.argsort(h, kind="stable")
+    model = ToxicModel(tokens=h[order], scores=values[order], cost=cost)
     shared = spark.sparkContext.broadcast(model)
-    pairs = rows.mapInArrow(_evidence_of_training(shared), "toxic int, evidence double").collect()  # bounded by train_limit
-    y, x = np.array([p[0] for p in pairs], float), np.log1p(np.array([p[1] for p in pairs], float))
-    model.intercept, model.slope = logistic(x, y)
+    # one row a training text, bounded by train_limit
+    found = rows.select("text", "toxic").mapInArrow(_bests_of_training(shared), "toxic int, best double, words long, others array<double>").toArrow()
+    toxic, best, words = (found.column(c).to_numpy() for c in ("toxic", "best", "words"))
+    full = words > 0
+    other = full & (toxic == 0)
+    if not other.any() or not (toxic[full] == 1).any():
+        return ToxicModel()
+    model.lam, model.log_k = extreme_value_fit(best[other], words[other].astype(float))
+    evidence = np.array([evidence_of([model.lam * s - model.log_k - math.log(n) for s in others] or [model.lam * b]) for b, n, others in zip(best[full], words[full], itertools.compress(found.column("others").to_pylist(), full))])
+    model.intercept, model.slope = logistic(scaled(evidence), toxic[full].astype(float))
     model.slope = max(model.slope, 0.0)
     return model
 
 
-def _evidence_of_training(shared):
+def _bests_of_training(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for step in text_steps(batch, "text"):
-                yield pa.RecordBatch.from_arrays([column(step, "toxic"), pa.array(shared.value.evidence(column(step, "text")))], names=["toxic", "evidence"])
+                best, words, found = shared.value.best_and_segments(column(step, "text"))
+                others = pa.array([[s for s, *_ in segments] for segments in found], pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([column(step, "toxic"), pa.array(best, pa.float64()), pa.array(words, pa.int64()), others], names=["toxic", "best", "words", "others"])
 
     return run
 
@@ -269,31 +316,34 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", t
     """Probability and segments of each whole text.
 
     Returns ``doc_id``, ``score`` (0 to 1), ``evidence``, ``segments`` (array of struct of
-    first and last word and bits, those with positive bits).
+    first and last word and nats: the significant ones).
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
         m = shared.value
-        kind = pa.list_(pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()), ("bits", pa.float64())]))
+        kind = pa.list_(pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()), ("nats", pa.float64())]))
         for batch in batches:
             for step in text_steps(batch, "text"):
                 found = m.segments(column(step, "text"))
-                evidence = np.array([evidence_of(f) for f in found], float)
-                spans = pa.array([[{"first_word": a, "last_word": b, "bits": bits} for bits, _, a, b in f if bits > 0] for f in found], kind)
+                evidence = np.array([evidence_of([x for x, *_ in f]) for f in found], float)
+                spans = pa.array([[{"first_word": a, "last_word": b, "nats": x} for x, a, b in f if x > 0 and a >= 0] for f in found], kind)
                 yield pa.RecordBatch.from_arrays([column(step, "doc_id"), pa.array(m.probability(evidence)), pa.array(evidence), spans], names=["doc_id", "score", "evidence", "segments"])
 
-    schema = f"doc_id {dict(docs.dtypes)[id_col]}, score double, evidence double, segments array<struct<first_word: bigint, last_word: bigint, bits: double>>"
+    schema = f"doc_id {dict(docs.dtypes)[id_col]}, score double, evidence double, segments array<struct<first_word: bigint, last_word: bigint, nats: double>>"
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def learnt(docs: DataFrame, labels: DataFrame, train_limit: int, held_out: int, folds: int) -> ToxicModel:
     usable = labels.select("doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").where(fold(folds) != held_out)
-    chosen = hashed_share(usable, "doc_id", train_limit, usable.count())
-    # chosen holds about train_limit rows whatever the input, so that the texts need no shuffle
-    train = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").alias("id"), "text", "toxic")
-    return train_toxicity(train)
+    usable = usable.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most").drop("most")
+    with tables(docs.sparkSession):
+        usable = written(usable, "toxic-labels")
+        # about train_limit ids, one row each, whatever the input, so that the texts need no shuffle
+        chosen = hashed_share(usable, "doc_id", train_limit, usable.count())
+        train = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").alias("id"), "text", "toxic")
+        return train_toxicity(train, train_limit)
 
 
 def fold(folds: int) -> Column:

@@ -56,36 +56,100 @@ def test_quality_filter_keeps_columns(spark):
     assert quality.quality_posterior(odd(spark).where("false")).count() == 0
 
 
+def all_maximal(flat, a=0):
+    """Maximal scoring segments by their definition: the best segment, then those left and right of it."""
+    found = [(sum(flat[i:j]), i - j, i, j) for i in range(len(flat)) for j in range(i + 1, len(flat) + 1)]
+    best = max(found, default=(0, 0, 0, 0))
+    if best[0] <= 0:
+        return []
+    _, _, i, j = best
+    return [*all_maximal(flat[:i], a), (best[0], a + i, a + j - 1), *all_maximal(flat[j:], a + j)]
+
+
 def test_maximal_segments_against_brute_force():
     import random
+    from itertools import accumulate
 
     r = random.Random(5)
-    for _ in range(300):
-        items = [r.choice((-1.0, -0.5, 1.0, 2.0)) for _ in range(r.randint(0, 14))]
-        scores, gaps, gap = [], [], 0.0
-        runs = []
-        for x in items:  # a positive item after so many costs of one half
-            if x < 0:
-                gap += -x / 0.5
-            else:
-                scores.append(x)
-                gaps.append(int(gap))
-                runs.append(int(gap))
-                gap = 0.0
-        found = toxicity.maximal_segments(scores, gaps, 0.5)
-        flat = []
-        for s, g in zip(scores, gaps):
-            flat += [-0.5] * g + [s]
-        best = max((sum(flat[i:j]) for i in range(len(flat)) for j in range(i + 1, len(flat) + 1)), default=None)
-        assert (max(s for s, *_ in found) if found else None) == (pytest.approx(best) if best is not None and best > 0 else None)
-        assert all(a[2] < b[1] for a, b in zip(found, found[1:]))
+    for _ in range(400):
+        flat = [r.uniform(-2.0, 1.5) for _ in range(r.randint(0, 18))]
+        sums = [0.0, *accumulate(flat)]
+        hits = [k for k, x in enumerate(flat) if x > 0]
+        found = [(s, hits[a], hits[b]) for s, a, b in toxicity.maximal_segments([sums[k] for k in hits], [sums[k + 1] for k in hits])]
+        want = all_maximal(flat)
+        assert [f[1:] for f in found] == [w[1:] for w in want]
+        assert [f[0] for f in found] == pytest.approx([w[0] for w in want])
+
+
+def test_segment_scan_is_linear():
+    import time
+
+    took = []
+    for n in (20_000, 160_000):  # every new segment stands lower than all before it
+        left = [-2.0 * k for k in range(n)]
+        began = time.process_time()
+        assert len(toxicity.maximal_segments(left, [x + 1 for x in left])) == n
+        took.append(time.process_time() - began)
+    assert took[1] < 30 * max(took[0], 0.01)
+
+
+def test_extreme_value_fit_finds_the_law():
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    n = r.integers(50, 2000, 20_000).astype(float)
+    best = (np.log(0.01 * n) + r.gumbel(size=len(n))) / 1.3  # lambda 1.3, K 0.01
+    best[best <= 0] = -0.5  # of texts without a positive segment no more is known
+    lam, log_k = toxicity.extreme_value_fit(best, n)
+    assert abs(lam - 1.3) < 0.05 and abs(log_k - np.log(0.01)) < 0.1
+
+
+def test_toxicity_scores_against_brute_force(spark):
+    import math
+
+    import numpy as np
+
+    nice = ["the quick fox runs home", "a fox sleeps, the day ends", "home is the day of a fox", "quick runs end the day"]
+    texts = [(k, f"{nice[k % 4]} number{k} {nice[k // 4 % 4]}" + (" you vile Scum!" * (1 + k % 2) if k % 5 == 0 else "")) for k in range(200)]
+    labels = {k: int(k % 5 == 0) for k, _ in texts}
+    model = toxicity.train_toxicity(spark.createDataFrame([(k, t, labels[k]) for k, t in texts], "id long, text string, toxic int"))
+    # token scores by the formula, over one text for each group of equal texts
+    sketch = next(toxicity.with_sketch(iter([pa.RecordBatch.from_pydict({"id": [k for k, _ in texts], "text": [t for _, t in texts]})]))).column("sketch").to_pylist()
+    chosen = {}
+    for (k, t), s in zip(texts, sketch):
+        chosen.setdefault((s, labels[k]), (k, t))
+    bad, good = Counter(), Counter()
+    def tokens(word):
+        w = word.lower().strip(toxicity.EDGES)
+        return {t for t in (w, *("^" + w[:n] for n in toxicity.STEMS)) if t}
+    for (_, toxic), (_, t) in chosen.items():
+        (bad if toxic else good).update({x for w in t.split() for x in tokens(w)})
+    b, g = sum(bad.values()), sum(good.values())
+    share, alpha, certainty, cost = b / (b + g), 0.02, 2.5, 0.5
+    score = {}
+    for x in bad | good:
+        a = alpha * (bad[x] + good[x])
+        p, q = bad[x] + a * share, good[x] + a * (1 - share)
+        odds = math.log(p / (b * (1 + alpha) - p)) - math.log(q / (g * (1 + alpha) - q))
+        score[x] = math.copysign(max(abs(odds) - certainty * math.sqrt(1 / p + 1 / q), 0.0), odds)
+    words = pa.array(["Scum!", "scum", "scummy", "fox", "the", "unseen", "number3"])
+    want = [max((score.get(x, 0.0) for x in tokens(w)), key=abs) - cost for w in words.to_pylist()]
+    assert np.allclose(model.word_scores(words), want, atol=1e-5) and want[0] > 0 > want[3]
+    # segments, evidence and probability of each text from these scores
+    for _, t in texts[:40]:
+        flat = [max((score.get(x, 0.0) for x in tokens(w)), key=abs) - cost for w in t.split()]
+        nats = sorted((model.lam * s - model.log_k - math.log(len(flat)) for s, *_ in all_maximal(flat)), reverse=True) or [model.lam * max(flat)]
+        sums = [sum(nats[:r]) for r in range(1, len([x for x in nats if x > 0]) + 1)]
+        found = max([nats[0], *(t - (r - 1) * math.log(max(t, 1)) + math.log(math.factorial(r) * math.factorial(r - 1)) - (r - 1) * math.log(2) for r, t in enumerate(sums, 1))])
+        p = 1 / (1 + math.exp(-(model.intercept + model.slope * min(max(found, -10), 50))))
+        assert model.probability(model.evidence(pa.array([t])))[0] == pytest.approx(p, abs=1e-4)
 
 
 def test_toxicity_on_held_out_fold(spark):
     data = "/root/testdata/sf0.1"
     rows = QUERIES["op1_toxicity"](spark, data).join(table(spark, data, "labels"), "doc_id").where("held_out").groupBy("toxic", "predicted").count().collect()
     n = {(r["toxic"], r["predicted"]): r["count"] for r in rows}
-    assert n[1, 1] >= 0.8 * (n[1, 1] + n.get((1, 0), 0)) and n.get((0, 1), 0) <= 0.02 * n[0, 0]
+    assert n[1, 1] >= 0.9 * (n[1, 1] + n.get((1, 0), 0)) and n.get((0, 1), 0) <= 0.01 * n[0, 0]
 
 
 def test_toxicity_ignores_what_it_must(spark):
@@ -93,6 +157,8 @@ def test_toxicity_ignores_what_it_must(spark):
     labels = spark.createDataFrame([(4, 1), (5, 0)], "doc_id long, toxic int")
     scored = toxicity.toxicity(docs, labels)
     assert scored.count() == len(ODD) and scored.where("score < 0 or score > 1 or score is null").count() == 0
+    again = labels.union(labels).union(spark.createDataFrame([(6, 1), (6, 0), (None, 1), (7, None)], "doc_id long, toxic int"))
+    assert sorted(map(tuple, toxicity.toxicity(docs, again).select("doc_id", "score").collect()), key=str) == sorted(map(tuple, scored.select("doc_id", "score").collect()), key=str)
     assert toxicity.toxicity(docs.where("false"), labels.where("false")).count() == 0
     assert toxicity.clean_documents(docs, labels).columns == docs.columns
 
