@@ -5,10 +5,10 @@ its replacement strings), normalises by the longest matching prefix as the libra
 and records for every normalised byte the source byte it comes from; ``spans`` projects the
 pieces onto the bytes of the original text.
 
-Where the map is the identity and no piece crosses from a word to a following space (both
-are read off the model), the words of a text are encoded independently: each is
-encoded once by the library and kept in a bounded cache with its ids and the source bytes of
-each piece. Other models are encoded text by text and projected through the map.
+Every text goes through the map, and its pieces are projected by the alignment; where the map has no
+entries the alignment is made in one vectorised step. In that case, if also no piece crosses from a word
+to a following space (both are read off the model), the words of a text are encoded independently: each is
+encoded once by the library and its ids are kept in a bounded cache. Other models are encoded text by text.
 
 Defined results: a null or empty text has the end id alone and decodes to the empty text;
 very long texts are read whole; repeated rows give repeated results; extra columns are ignored.
@@ -108,8 +108,10 @@ class CharacterMap:
                 best = (k + 1 - at, self.blob[start : self.blob.index(b"\0", start)])
         return best
 
-    def normalised(self, data: bytes) -> tuple[bytes, list[int]]:
-        """Normalised bytes, and the source byte of each of them and of the end."""
+    def normalised(self, data: bytes) -> tuple[bytes, np.ndarray]:
+        """Normalised bytes of valid UTF-8, and the source byte of each of them and of the end."""
+        if not self.units and not self.remove_extra and data:
+            return self._copied(data)
         out, source = bytearray(), []
         space = SPACE.encode() if self.escape else b" "
 
@@ -138,7 +140,7 @@ class CharacterMap:
             while steps and not steps[0][0].strip(b" "):
                 steps.pop(0)
         if not steps:
-            return b"", [end]
+            return b"", np.array([end])
         if self.dummy_prefix and not self.suffix:
             put(space, steps[0][1])
         was_space = self.remove_extra
@@ -158,7 +160,20 @@ class CharacterMap:
         if self.dummy_prefix and self.suffix:
             put(space, end)
         source.append(end)
-        return bytes(out), source
+        return bytes(out), np.array(source)
+
+    def _copied(self, data: bytes) -> tuple[bytes, np.ndarray]:
+        """The same where no key can match: every byte is copied, a space perhaps as its escape."""
+        space = SPACE.encode() if self.escape else b" "
+        source = np.arange(len(data) + 1)
+        if self.escape:
+            source = np.repeat(source, np.where(np.frombuffer(data + b"\0", np.uint8) == 32, len(space), 1))
+        out = data.replace(b" ", space)
+        if self.dummy_prefix and self.suffix:
+            return out + space, np.concatenate((source[:-1], np.full(len(space) + 1, len(data))))
+        if self.dummy_prefix:
+            return space + out, np.concatenate((np.zeros(len(space), source.dtype), source))
+        return out, source
 
 
 class PieceModel:
@@ -174,8 +189,7 @@ class PieceModel:
         size = self.sp.get_piece_size()
         self.text = [self.sp.id_to_piece(i) for i in range(size)]
         self.width = [1 if self.sp.is_byte(i) else 0 if self.sp.is_control(i) else len(p.encode()) for i, p in enumerate(self.text)]
-        # source bytes where the map is the identity: an escaped space is one byte
-        self.own = np.array([w if self.sp.is_byte(i) else w - 2 * p.count(SPACE) for i, (p, w) in enumerate(zip(self.text, self.width))], np.int64)
+        self.widths = np.array(self.width, np.int64)
         kinds = [next((v for n, _, v in _fields(piece) if n == 3), 1) for n, k, piece in _fields(model) if n == 1 and k == 2]
         m = self.map
         self.by_word = not m.units and m.dummy_prefix and not m.remove_extra and m.escape and not m.suffix and 4 not in kinds and not any(SPACE in p.lstrip(SPACE) for p in self.text) and size <= 1 << 16 and SPACE in self.text
@@ -197,8 +211,8 @@ class PieceModel:
         if "" in parts:
             parts = _with_runs(parts)
         ids = np.frombuffer(b"".join(map(self.words.__getitem__, parts)), "<u2").astype(np.int64)
-        ends = np.cumsum(self.own[ids]) - 1  # the prefix has no source byte
-        return ids, ends
+        _, source = self.map.normalised(text.encode())
+        return ids, source[np.cumsum(self.widths[ids])]
 
     def encoded_whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The same by the library's encoding of the whole text, projected through the map."""
