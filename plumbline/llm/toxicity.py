@@ -14,8 +14,8 @@
    logistic fit on training texts maps to a probability.
 
 Bounds: at most about ``train_limit`` distinct labelled texts train the model (a parameter; all where there are fewer).
-Tokens whose score is 0 need no place in the table that is broadcast; it has 8 to 12 bytes for each other
-token of the training texts, and more than TABLE_TOKENS of them are an error.
+Tokens whose score is 0 need no place in the table that is broadcast; it holds the others
+of the training texts, and more than TABLE_TOKENS of them are an error.
 
 Defined results: a null or empty text has no segment and gets the least probability; rows without a label are
 scored like others; repeated labels of an id count once, contradicting ones not at all; without any
@@ -142,15 +142,11 @@ def evidence_of(nats: list[float]) -> float:
     return min(max(best, LEAST), MOST)
 
 
-def hashes(words: pa.Array) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()), np.uint64, len(words))
-
-
 @dataclass
 class ToxicModel:
-    """Token scores (sorted hashes) with the calibration; ``evidence`` needs no Spark."""
+    """Token scores with the calibration; ``evidence`` needs no Spark."""
 
-    tokens: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    tokens: pa.Array = field(default_factory=lambda: pa.array([], pa.string()))
     scores: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     cost: float = 1.0
     lam: float = 1.0
@@ -162,10 +158,9 @@ class ToxicModel:
         """Score of each word: that of its token that is farthest from 0, less the cost of a word."""
         best = np.zeros(len(words))
         if len(self.tokens) and len(words):
+            padded = np.append(self.scores, np.float32(0))
             for kind in tokens_of(words):
-                h = hashes(kind)
-                at = np.minimum(np.searchsorted(self.tokens, h), len(self.tokens) - 1)
-                own = np.where(self.tokens[at] == h, self.scores[at], 0.0)
+                own = padded[pc.fill_null(pc.index_in(kind, value_set=self.tokens), len(self.tokens)).to_numpy(zero_copy_only=False)]
                 best = np.where(np.abs(own) > np.abs(best), own, best)
         return best - self.cost
 
@@ -276,9 +271,7 @@ def train_toxicity(labelled: DataFrame, train_limit: int = 40_000, alpha: float
     scored = counts.select("token", token_score(alpha, certainty, sums).cast("float").alias("score")).where("score <> 0").limit(TABLE_TOKENS + 1).toArrow()
     if scored.num_rows > TABLE_TOKENS:
         raise ValueError("the training texts hold too many tokens for a table in memory; choose a smaller train_limit")
-    h, values = hashes(scored.column("token").combine_chunks()), scored.column("score").to_numpy()
-    order = np.argsort(h, kind="stable")
-    model = ToxicModel(tokens=h[order], scores=values[order], cost=cost)
+    model = ToxicModel(tokens=scored.column("token").combine_chunks().cast(pa.string()), scores=scored.column("score").to_numpy(), cost=cost)
     shared = spark.sparkContext.broadcast(model)
     # one row a training text, bounded by train_limit
     found = rows.select("text", "toxic").mapInArrow(_bests_of_training(shared), "toxic int, best double, words long, others array<double>").toArrow()
