@@ -1,6 +1,13 @@
 """A corpus pipeline of five stages over ``documents``; part of the training-data subpackage.
 
-Each stage works on all that the stage before kept and is written as Parquet for the next.
+Each stage works on all that the stage before kept and is written as Parquet for the next; a stage's
+table is deleted once the next one is written.
+
+Defined results: all stages but the last return the rows they keep with all their columns, whatever those are called.
+Null, empty and blank texts fail the base rule of the first stage; on their own, the other stages keep them. Rows
+without a ``doc_id`` go through the filters like others, are near duplicates of nothing, and are packed. Repeated
+rows are judged alike and one of them stays after ``near_dedup``; of rows of one id with other texts all stay there. Ties go to the smallest
+id. Empty tables give empty results; without labels of both classes no document counts as toxic.
 """
 
 from __future__ import annotations
@@ -8,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline import session
-from plumbline.llm.common import written
+from plumbline.llm.common import dropped, written_to
 from plumbline.llm.minhash import one_of_each
 from plumbline.llm.packing import packed
 from plumbline.llm.pii import masked_documents
@@ -49,13 +56,16 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality_rules", quality_rules), ("toxicity", toxicity), ("near_dedup", near_dedup), ("personal_data", personal_data), ("packing", packing)]
 
-#: The learnt stages have no SQL; tests hold each stage against a brute-force version.
+#: The learnt stages have no SQL; tests/llm/test_pipeline.py holds what each stage returns against a brute-force version of it.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, path = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs, new = written_to(stage(spark, docs, sf_dir), f"stage-{name}")
+        if path:
+            dropped(spark, path)
+        path = new
     return STAGES[-1][1](spark, docs, sf_dir)
