@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import contextvars
+import ctypes
 import gc
 import os
 import shutil
@@ -31,14 +32,21 @@ def registered(cache):
     return cache
 
 
+def trim() -> None:
+    """Give freed memory back to the system; called as a task begins, whose process may have served other operators."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def lean() -> None:
-    """Give back what other operators have cached in this process; called as a task begins that uses no such cache."""
-    if any(_caches):
+    """Give back also what other operators have cached in this process; called as a task begins that uses no such cache."""
+    if any(c or c.old for c in _caches):
         for c in _caches:
             c.clear()
             c.old = {}
         gc.collect()
-    pa.default_memory_pool().release_unused()
+    trim()
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import column, text_steps, written
+from plumbline.llm.common import column, text_steps, trim, written
 from plumbline.llm.wordbpe import word_ids
 
 
@@ -158,9 +158,14 @@ class Packing:
                 put(room, first + full, number - full)
 
 
+#: Words of a generation of the encoder's cache here, where processes may have served other stages.
+CACHE = 250_000
+
+
 def _pieces(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_ids(path)
+        trim()
+        encoder = word_ids(path, CACHE)
         end = np.array([end_id], "<u4")
         for batch in batches:
             for step in text_steps(batch, "text"):

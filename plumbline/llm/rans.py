@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import column, dropped, file_system, scratch, text_steps, written_to
+from plumbline.llm.common import column, dropped, file_system, scratch, text_steps, trim, written_to
 from plumbline.llm.wordbpe import word_ids
 
 MAGIC = b"PLRANS1\n"
@@ -145,6 +145,7 @@ def _tokenised(path: str, end_id: int, bounds: list[int]):
     """Rows of packed ids with their shard; one more row per task with its counts of ids (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         encoder = word_ids(path)
         end = np.array([end_id], encoder.dtype).tobytes()
         cuts = np.array(bounds, np.int64)

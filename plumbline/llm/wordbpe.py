@@ -106,6 +106,6 @@ class WordIds:
 
 
 @functools.cache
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str, cache_words: int = CACHE_WORDS) -> WordIds:
     """The encoder of this process for ``path``, with its cache."""
-    return WordIds(path)
+    return WordIds(path, cache_words)
