@@ -213,5 +213,7 @@ def good_documents(docs: DataFrame, text_col: str = "text", threshold: float = 0
     """
     rows = written(_with_measures(docs.select(F.col(text_col).alias("text")), "text").drop("text"), "quality")
     prefix = "__quality_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
     _, _, kept = verdict(fitted(rows), threshold, prefix)
     return _with_measures(docs, text_col, prefix).where(kept).select(*(F.col(f"`{c}`") for c in docs.columns))

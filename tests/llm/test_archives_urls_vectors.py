@@ -1,4 +1,4 @@
-"""WARC, URL reputation, nearest neighbours and the pipeline."""
+"""WARC, URL reputation and nearest neighbours."""
 
 import base64
 import hashlib
@@ -81,6 +81,15 @@ def test_url_rules(spark, url, host, path, rule):
     assert got["verdict"] == ("allow" if rule is None else next(r.action for r in RULES if r.text == rule))
 
 
+def test_urls_on_odd_rows(spark):
+    rows = [(1, None), (1, None), (2, ""), (3, "http://"), (4, "http://a.com/en/x"), (4, "http://a.com/en/x"), (None, "http://b.org/es/")]
+    df = spark.createDataFrame([(i, u, "h", "r", "v", 9) for i, u in rows], "page_id long, url string, host string, rule string, verdict string, n int")
+    got = [(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.judged(df.select("page_id", "url", "n"), RULES, F.lit(0)).collect()]
+    assert sorted(got, key=str) == sorted([(1, "", "", None, "allow")] * 2 + [(2, "", "", None, "allow"), (3, "", "", None, "allow")] + [(4, "a.com", "/en/x", "com/en/", "block")] * 2 + [(None, "b.org", "/es/", "org/es/", "block")], key=str)
+    assert sorted(((r["page_id"], r["host"]) for r in urls.judged(df, RULES, F.lit(0)).select("page_id", "host").collect()), key=str) == sorted(((g[0], g[1]) for g in got), key=str)
+    assert urls.judged(df.where("false"), RULES, F.lit(0)).count() == 0
+
+
 def test_reputation_shrinks(spark):
     rows = [("good.a.com", 0)] * 400 + [("bad.b.com", 1)] * 60 + [("new.b.com", 1)] + [("new.a.com", 1)] + [("x.c.org", k % 10 == 0) for k in range(200)] + [("none.d.org", None)]
     df = spark.createDataFrame([(h, None if b is None else int(b)) for h, b in rows], "host string, bad int")
@@ -180,24 +189,3 @@ def test_estimates_lie_within_their_bounds(size):
     true = unit @ (v / length[:, None]).T
     error = 3 * (np.sqrt(1 - factor**2) / factor / np.sqrt(size - 1) + asked.step[:, None] / np.sqrt(12) / factor)
     assert (np.abs(cosine - true) <= error).mean() > 0.99 and abs((cosine - true).mean()) < 0.01
-
-
-def test_pipeline(spark):
-    import corpus_pipeline
-
-    data = "/root/testdata/sf0.01"
-    docs = table(spark, data, "documents")
-    columns, seen = docs.columns, [docs.count()]
-    labels = table(spark, data, "labels")
-    from plumbline.llm.common import written
-
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = written(stage(spark, docs, data), f"test-{name}")
-        assert docs.columns == columns, name
-        seen.append(docs.count())
-    assert seen[0] > seen[1] > seen[2] >= seen[3] == seen[4] > 0.5 * seen[0]
-    assert docs.join(labels.where("quality = 0"), "doc_id").count() == 0
-    assert docs.where(F.col("text").rlike(r"[a-z]\.[0-9]+@mail")).count() == 0
-    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, data)
-    assert pieces.select("doc_id").distinct().count() == seen[4]
-    assert corpus_pipeline.run(spark, data).count() == pieces.count()

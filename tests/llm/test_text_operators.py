@@ -1,6 +1,5 @@
 """Quality, toxicity, personal data and near-duplicates: brute force, held-out accuracy, and odd inputs."""
 
-import re
 from collections import Counter
 
 import pyarrow as pa
@@ -10,8 +9,8 @@ from pyspark.sql import functions as F
 from plumbline.llm import minhash, pii, quality, toxicity
 from plumbline.llm.components import components
 from plumbline.llm.queries import QUERIES, table
+from tests_llm_helpers import base_brute, brute_components, measures, shingle_set
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, n_words string, score string"  # columns that clash with the operators' own
 ODD = [(1, None, "x", "y"), (2, "", "x", "y"), (3, " \t\n", "x", "y"), (4, "one", "x", "y"), (5, "one", "x", "y"), (5, "one", "x", "y"), (6, "a b c d e f " * 30_000, "x", "y"), (7, "é\u0085ü x \x1c y", "x", "y"), (None, "null id here", None, None)]
 
@@ -20,14 +19,6 @@ def odd(spark):
     return spark.createDataFrame(ODD, SCHEMA)
 
 
-def measures(text):
-    w = WORD.findall(text or "")
-    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
-    windows = Counter(zip(w, w[1:], w[2:]))
-    hit = {i + k for i, x in enumerate(zip(w, w[1:], w[2:])) if windows[x] > 1 for k in range(3)}
-    return (len(w), sum(map(len, w)), sum((text or "").count(s) for s in "#*$%&|<>"), len(lines) - len(set(lines)), len(hit))
-
-
 def test_quality_measures(spark, data):
     docs = table(spark, data, "documents").select("doc_id", "text").union(odd(spark).select("doc_id", "text").where("doc_id is not null"))
     want = {r["doc_id"]: [] for r in docs.select("doc_id").collect()}
@@ -163,18 +154,6 @@ def test_toxicity_ignores_what_it_must(spark):
     assert toxicity.clean_documents(docs, labels).columns == docs.columns
 
 
-BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+".replace(r"\x20-", " -"), "phone": r"\+[0-9][ ().0-9-]+[0-9]"}
-
-
-def base_brute(text):
-    found = {k: [m.span() for m in re.finditer(p, text)] for k, p in BASE.items()}
-    digits = lambda s: "".join(c for c in s if c in "0123456789")
-    found["ip"] = [(a, b) for a, b in found["ip"] if all(int(x) <= 255 for x in text[a:b].split("."))]
-    found["card"] = [(a, b) for a, b in found["card"] if 13 <= len(digits(text[a:b])) <= 19 and pii.luhn(digits(text[a:b]))]
-    found["phone"] = [(a, b) for a, b in found["phone"] if 9 <= len(digits(text[a:b])) <= 15]
-    return found
-
-
 def test_base_patterns(spark, data):
     import random
 
@@ -258,32 +237,6 @@ def test_personal_data_on_odd_rows(spark):
     assert [tuple(r) for r in masked] == [(1, "mail <email> now", 16), (2, None, None)]
 
 
-def shingle_set(text, width):
-    w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
-    return frozenset([tuple(w)] if 0 < len(w) < width else zip(*(w[k:] for k in range(width))))
-
-
-def brute_components(rows, width):
-    sets = {}
-    parent = {}
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for i, t in rows:
-        sets.setdefault(i, []).append(shingle_set(t, width))
-        parent[i] = i
-    flat = [(i, s) for i, ss in sets.items() for s in ss if s]
-    for k, (i, a) in enumerate(flat):
-        for j, b in flat[:k]:
-            if 100 * min(len(a), len(b)) >= 80 * max(len(a), len(b)) and 100 * len(a & b) >= 80 * len(a | b):
-                x, y = sorted((root(i), root(j)))
-                parent[y] = x
-    return {i: root(i) for i in parent}
-
-
 @pytest.mark.parametrize("width", [4, 5])
 def test_near_duplicates_against_brute_force(spark, data, width):
     rows = [tuple(r) for r in table(spark, data, "documents").select("doc_id", "text").collect()]
