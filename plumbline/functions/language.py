@@ -16,8 +16,9 @@ WORDS = {
 SCRIPTS = {"cjk": r"[\x{4E00}-\x{9FFF}\x{3040}-\x{30FF}\x{AC00}-\x{D7AF}&&\p{L}]", "cyrillic": r"[\x{0400}-\x{04FF}&&\p{L}]", "arabic": r"[\x{0600}-\x{06FF}&&\p{L}]"}
 
 
-def _count(text: Column, pattern: str) -> Column:
-    return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), body)[0]
 
 
 def _among(words: list[str]):
@@ -27,16 +28,28 @@ def _among(words: list[str]):
 def detected_language(text: Column, script_share: float = 0.10, least_words: int = 15, least_ratio: float = 0.04) -> Column:
     """A script name, ``en``, ``de``, ``es``, ``fr`` or ``und``."""
     text = F.coalesce(text, F.lit(""))
-    letters = _count(text, r"\p{L}")
-    share = {k: _count(text, p) for k, p in SCRIPTS.items()}
-    top = F.greatest(*share.values())
     words = F.transform(F.regexp_extract_all(text, F.lit("([a-zA-Zà-ÿÀ-ß]+)"), F.lit(1)), lambda w: F.lower(w))
-    hits = {k: F.size(F.filter(words, _among(v.split()))) for k, v in WORDS.items()}
-    best = F.greatest(*hits.values())
-    out = F.when(letters == 0, "und")
-    for k, c in share.items():
-        out = out.when((top >= script_share * letters) & (c == top), k)
-    out = out.when((F.size(words) < least_words) | (best < least_ratio * F.size(words)), "und")
-    for k, c in hits.items():
-        out = out.when(c == best, k)
+    known = sorted({w for v in WORDS.values() for w in v.split()})
+
+    def by_script(n: Column) -> Column:
+        top = F.greatest(*(n[k] for k in SCRIPTS))
+        out = F.when(n["letters"] == 0, "und")
+        for k in SCRIPTS:
+            out = out.when((top >= script_share * n["letters"]) & (n[k] == top), k)
+        return out
+
+    def by_words(n: Column) -> Column:
+        best = F.greatest(*(n[k] for k in WORDS))
+        out = F.when((n["words"] < least_words) | (best < least_ratio * n["words"]), "und")
+        for k in WORDS:
+            out = out.when(n[k] == best, k)
+        return out
+
+    counts = F.struct(F.regexp_count(text, F.lit(r"\p{L}")).alias("letters"), *(F.regexp_count(text, F.lit(p)).alias(k) for k, p in SCRIPTS.items()))
+    hits = _let(words, lambda w: F.struct(F.size(w).alias("words"), F.filter(w, _among(known)).alias("hits")))
+    of_words = _let(hits, lambda n: F.struct(n["words"].alias("words"), *(F.size(F.filter(n["hits"], _among(v.split()))).alias(k) for k, v in WORDS.items())))
+    latin = _let(of_words, by_words)
+    # Texts without a letter or with one of a script that decides alone are few; only they are counted by script.
+    scripted = ~text.rlike(r"\p{L}") | text.rlike("|".join(SCRIPTS.values()))
+    out = F.when(scripted, F.coalesce(_let(counts, by_script), latin)).otherwise(latin)
     return out

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import slug_of_key
+from plumbline.session import cut
 
 
 def dimension(rows: DataFrame, key: Column, name: Column, order: Column) -> DataFrame:
@@ -15,44 +16,53 @@ def dimension(rows: DataFrame, key: Column, name: Column, order: Column) -> Data
     return with_slugs(first)
 
 
-def with_slugs(entities: DataFrame, rounds: int = 8) -> DataFrame:
+def with_slugs(entities: DataFrame) -> DataFrame:
     """Unique slugs: the base for the first seen, then ``-2``, ``-3``...
 
-    A suffixed slug may collide with another entity's own base; suffixes are raised past such slugs until none is left.
+    Every base belongs to its first entity, so numbers that would give another entity's base are passed over: the
+    k-th later entity of a base gets its k-th free number. Suffixed slugs of different bases cannot meet.
     """
-    first = ("first_seq", "norm_key")
-    df = entities.withColumn("_base", slug_of_key(F.col("norm_key"))).withColumn("_n", F.row_number().over(Window.partitionBy("_base").orderBy(*first)))
-    for _ in range(rounds):
-        df = df.withColumn("slug", F.when(F.col("_n") == 1, F.col("_base")).otherwise(F.concat_ws("-", "_base", F.col("_n").cast("string"))))
-        taken = df.groupBy("slug").agg(F.count("*").alias("_m"), F.min_by("norm_key", F.struct((F.col("_n") > 1).cast("int"), *first)).alias("_owner"))
-        clash = taken.where("_m > 1").select("slug", "_owner")
-        if clash.isEmpty():
-            break
-        group = Window.partitionBy("_base")
-        raised = F.max("_n").over(group) + F.row_number().over(group.orderBy(*first))
-        df = df.join(clash, "slug", "left").withColumn("_n", F.when(F.col("_owner") != F.col("norm_key"), raised).otherwise(F.col("_n"))).drop("_owner", "slug")
-    return df.drop("_base", "_n")
-
-
-def merge_closure(decisions: DataFrame, rounds: int = 40) -> DataFrame:
-    """Each losing key with the key at the end of its chain (``loser_key``, ``winner_key``; one winner each).
-
-    A walk that meets a cycle stops at the first key it has seen before.
+    df = entities.withColumn("_base", slug_of_key(F.col("norm_key"))).withColumn("_n", F.row_number().over(Window.partitionBy("_base").orderBy("first_seq", "norm_key")))
+    ends = df.where("_n = 1").select(F.regexp_extract("_base", r"^(.+)-([1-9]\d{0,17})$", 1).alias("_base"), F.regexp_extract("_base", r"^(.+)-([1-9]\d{0,17})$", 2).try_cast("bigint").alias("_taken"))
+    taken = ends.where("_taken >= 2").groupBy("_base").agg(F.array_sort(F.collect_set("_taken")).alias("_taken"))
+    passed = F.size(F.filter(F.coalesce("_taken", F.array().cast("array<bigint>")), lambda t, i: t - i <= F.col("_n")))
+    slug = F.when(F.col("_n") == 1, F.col("_base")).otherwise(F.concat_ws("-", "_base", (F.col("_n") + passed).cast("string")))
+    return df.join(taken, "_base", "left").withColumn("slug", slug).drop("_base", "_n", "_taken")
+
+
+def merge_closure(decisions: DataFrame) -> DataFrame:
+    """Each losing key with the key at the end of its chain (``loser_key``, ``winner_key``; one winner each, the smallest of several).
+
+    A walk that meets a cycle ends at the first key of the cycle; keys of a cycle end at themselves. Pointers are doubled, so the
+    rounds grow with the logarithm of the longest chain. Decisions with a null key are left out.
     """
-    edges = decisions.select("loser_key", "winner_key").dropDuplicates(["loser_key"])
-    walk = edges.select("loser_key", F.col("winner_key").alias("at"), F.array("loser_key").alias("seen"))
-    done = None
-    for _ in range(rounds):
-        step = edges.select(F.col("loser_key").alias("at"), F.col("winner_key").alias("to"))
-        joined = walk.join(step, "at", "left")
-        ends = F.col("to").isNull() | F.array_contains("seen", F.col("at"))
-        part = joined.where(ends).select("loser_key", F.col("at").alias("canonical_key"))
-        done = part if done is None else done.unionByName(part)
-        walk = joined.where(~ends).select("loser_key", F.col("to").alias("at"), F.array_append("seen", F.col("at")).alias("seen"))
-        walk = walk.checkpoint() if walk.sparkSession.sparkContext.getCheckpointDir() else walk.cache()
-        if walk.isEmpty():
-            break
-    return done
+    edges = decisions.where("loser_key IS NOT NULL AND winner_key IS NOT NULL").groupBy("loser_key").agg(F.min("winner_key").alias("winner_key"))
+    done, rest = _doubled(edges)
+    # What walks on after as many steps as there are keys has reached a cycle, and stands on every key of it.
+    while not rest.isEmpty():
+        cycle = rest.select(F.col("at").alias("loser_key")).distinct()
+        entering = edges.join(rest.select("loser_key"), "loser_key", "left_semi").join(cycle, "loser_key", "left_anti")
+        done = done.union(cycle.select("loser_key", F.col("loser_key").alias("at")))
+        more, rest = _doubled(entering)
+        done = done.union(more)
+    return done.select("loser_key", F.col("at").alias("canonical_key"))
+
+
+def _doubled(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, end) of the walks that end, and (key, where it stands) of those that have taken more steps than there are keys."""
+    walk = cut(edges.select("loser_key", F.col("winner_key").alias("at")))
+    done, steps = None, 1
+    while True:
+        n = walk.count()
+        ahead = walk.select(F.col("loser_key").alias("at"), F.col("at").alias("to"))
+        ended = walk.join(ahead, "at", "left_anti").select("loser_key", "at")
+        if done is not None:  # keys whose next stop has ended meanwhile end where it does
+            ended = ended.join(done.select(F.col("loser_key").alias("at"), F.col("at").alias("end")), "at", "left").select("loser_key", F.coalesce("end", "at").alias("at"))
+        done = cut(ended if done is None else done.union(ended))
+        walk = cut(walk.join(ahead, "at").select("loser_key", F.col("to").alias("at")))
+        steps *= 2
+        if n == 0 or steps > 2 * n:
+            return done, walk
 
 
 def resolved(rows: DataFrame, closure: DataFrame, key: str) -> DataFrame:

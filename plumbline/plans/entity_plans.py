@@ -54,7 +54,7 @@ def _titles(spark, d):
 
 @query("extract_person", f"SELECT p_partkey AS rec_id, CASE WHEN p_partkey % 4 < 2 THEN {_NAME} END AS name, CASE p_partkey % 4 WHEN 0 THEN 'CEO and Founder' WHEN 2 THEN 'Berlin' END AS role FROM part")
 def extract_person_query(spark, d):
-    return _titles(spark, d).select("rec_id", extract_person("title").alias("name"), parsed_role(F.col("title")).alias("role"))
+    return _titles(spark, d).select("rec_id", extract_person(F.col("title")).alias("name"), parsed_role(F.col("title")).alias("role"))
 
 
 @query("people_resolve", f"SELECT name, org_key, max(CASE WHEN k = 0 THEN 'CEO and Founder' END) AS role, CASE WHEN count(*) = 1 THEN 0.55 WHEN count(*) < 4 THEN 0.68 ELSE 0.80 END::DOUBLE AS confidence, count(*) AS n FROM (SELECT {_NAME} AS name, p_brand AS org_key, p_partkey % 4 AS k FROM part WHERE p_partkey % 4 < 2) GROUP BY 1, 2")

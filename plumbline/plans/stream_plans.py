@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from plumbline.sources.tables import table
+from plumbline import session
 from plumbline.streaming import telemetry
 
 QUERIES, SQL = {}, {}
@@ -27,10 +28,7 @@ def _events(spark, d):
 
 
 def _checkpoint(spark) -> str:
-    import tempfile
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='plumbline-stream-')}"
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return f"{session.shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
 _MINUTE = "SELECT strftime(time_bucket(INTERVAL 1 MINUTE, ts), '%Y-%m-%d %H:%M') AS minute, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2"
@@ -47,8 +45,7 @@ def fetch_window_1m(spark, d):
 
 @query("stream_window_1m", _MINUTE)
 def stream_window_1m(spark, d):
-    name = f"w{uuid.uuid4().hex}"
-    return _minutes(telemetry.run_to_end(telemetry.per_minute(telemetry.event_stream(spark, d)), name, "complete", _checkpoint(spark)))
+    return _minutes(telemetry.run_to_end(telemetry.per_minute(telemetry.event_stream(spark, d)), _checkpoint(spark), "complete", _checkpoint(spark)))
 
 
 @query("trailing_rate", "SELECT strftime(s, '%Y-%m-%d %H:%M') AS start, count(*) AS n FROM (SELECT unnest([time_bucket(INTERVAL 1 MINUTE, ts), time_bucket(INTERVAL 1 MINUTE, ts) - INTERVAL 1 MINUTE]) AS s FROM events) GROUP BY 1")
@@ -60,8 +57,7 @@ def trailing_rate(spark, d):
 def stream_dedupe(spark, d):
     """First event of each user and type on an unbounded key set; deduplication without a watermark."""
     stream = telemetry.event_stream(spark, d, "40 days").select("user_id", "event_type", "ts")
-    name = f"d{uuid.uuid4().hex}"
-    return telemetry.run_to_end(telemetry.deduplicated(stream, ["user_id", "event_type"]), name, "append", _checkpoint(spark)).select("user_id", "event_type")
+    return telemetry.run_to_end(telemetry.deduplicated(stream, ["user_id", "event_type"]), _checkpoint(spark), "append", _checkpoint(spark)).select("user_id", "event_type")
 
 
 @query("token_budget", "SELECT event_id, user_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW), 4) AS trailing FROM events")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import os
+import shutil
 import sys
 import tempfile
 import zipfile
@@ -50,6 +52,35 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    Where it is unset in local mode (tests), a temporary folder of this process, removed at exit; on a
+    cluster that is an error, as executors share no local folder.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    path = tempfile.mkdtemp(prefix="plumbline-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return f"file://{path}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` through a checkpoint in the shared folder: lineage ends here, and a lost executor loses nothing."""
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """``query``, preceded by ``prepared``."""
 

@@ -36,11 +36,20 @@ def deduplicated(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.dropDuplicatesWithinWatermark(keys) if rows.isStreaming else rows.dropDuplicates(keys)
 
 
-def run_to_end(stream: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:
-    """Run a query over all available input to a memory table."""
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_to_end(stream: DataFrame, folder: str, mode: str, checkpoint: str) -> DataFrame:
+    """Run a query over all available input into Parquet files below ``folder``.
+
+    Every batch has a folder of its own, which a repeated batch writes anew; in complete mode the last result stays.
+    """
+    spark = stream.sparkSession
+    spark.createDataFrame([], stream.schema).write.parquet(f"{folder}/start")
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/{'last' if mode == 'complete' else f'batch-{number}'}")
+
+    query = stream.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", "true").parquet(folder)
 
 
 def queue_states(outcomes: DataFrame, most: int = 4) -> DataFrame:

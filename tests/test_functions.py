@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import language, similarity, text, trust, urls
 from plumbline.functions.html import detail_of, listing_ids, main_text, post_of
-from plumbline.functions.people import parsed_role, person_in
+from plumbline.functions.people import extract_person, parsed_role
 from plumbline.streaming.telemetry import gap_control
 
 
@@ -44,10 +44,20 @@ def test_legal_form(spark, key, core):
     assert one(spark, text.strip_legal_form(F.col("t")), t=key) == core
 
 
-def test_split_form():
-    assert text.split_form("Samsung Electronics Co., Ltd") == ("Samsung Electronics", "Co. Ltd")
-    assert text.split_form("USHEALTH Advisors, L.L.C.") == ("USHEALTH Advisors", "L.L.C.")
-    assert text.split_form("LLC") == ("LLC", "")
+@pytest.mark.parametrize("name,core,form", [
+    ("Samsung Electronics Co., Ltd", "Samsung Electronics", "Co. Ltd"), ("USHEALTH Advisors, L.L.C.", "USHEALTH Advisors", "L.L.C."), ("LLC", "LLC", ""), ("Co Ltd", "Co", "Ltd"), ("", "", ""), (None, "", ""),
+    ("A, B Inc. Group ,", "A, B Inc. Group", ""), ("  Foo GmbH, ", "Foo", "GmbH"), ("Été, S.A. Ltd", "Été, S.A.", "Ltd"),
+])
+def test_split_form(spark, name, core, form):
+    got = one(spark, text.split_legal_form(F.col("t")), t=name)
+    assert (got["core"], got["form"]) == (core, form)
+
+
+def test_places_with_accents(spark):
+    vocabulary = F.array(*(F.lit(v) for v in text.location_vocabulary(["São Tomé", "Türkiye"])))
+    own = F.array(F.lit("sao paulo"))
+    for name, left in (("Empresa Ação, São Paulo, São Tomé", "Empresa Ação"), ("Koç Holding, Türkiye", "Koç Holding"), ("São Paulo", "São Paulo"), ("A, Zürich", "A, Zürich")):
+        assert one(spark, text.strip_location(F.col("t"), vocabulary, own), t=name) == left
 
 
 def test_normalized_org(spark):
@@ -82,12 +92,12 @@ def test_listing(spark):
     assert one(spark, listing_ids(F.col("t")), t=html) == ["86016", "86017"]
 
 
-PEOPLE = [("Ines Ruiz, CEO and Founder", "Ines Ruiz"), ("Mr. Brian Ippolito, CEO", "Brian Ippolito"), ("Barry Tourigny SPHR GPHR, VP of X", "Barry Tourigny"), ("Steven T. Plochocki, CEO", "Steven T. Plochocki"), ("NLP Alliance Japan, Osaka, Japan", None), ("Leadership under impossible standards", None), (None, None), ("", None)]
+PEOPLE = [("Ines Ruiz, CEO and Founder", "Ines Ruiz"), ("Mr. Brian Ippolito, CEO", "Brian Ippolito"), ("Barry Tourigny SPHR GPHR, VP of X", "Barry Tourigny"), ("Steven T. Plochocki, CEO", "Steven T. Plochocki"), ("NLP Alliance Japan, Osaka, Japan", None), ("Leadership under impossible standards", None), (None, None), ("", None), ("Ludwig van der Berg - CEO", "Ludwig van der Berg"), ("Maria St. Clair, Head", "Maria St. Clair"), ("Acme Group Ltd, CEO", None), ("Anne-Marie O'Neil (Founder)", "Anne-Marie O'Neil"), ("J. R. Smith", None), ("“José Núñez”, Director", "José Núñez")]
 
 
 @pytest.mark.parametrize("title,name", PEOPLE)
-def test_person(title, name):
-    assert person_in(title) == name
+def test_person(spark, title, name):
+    assert one(spark, extract_person(F.col("t")), t=title) == name
 
 
 def test_role(spark):

@@ -39,6 +39,21 @@ def test_closure_and_cycle(spark):
     assert dict(tuple(r) for r in canonical.merge_closure(d).collect()) == {"a": "c", "b": "c", "x": "x", "y": "y", "t": "x"}
 
 
+def test_closure_of_long_chains_and_cycles(spark):
+    rows = [(f"k{k}", f"k{k + 1}") for k in range(200)] + [(f"c{k}", f"c{(k + 1) % 7}") for k in range(7)] + [(f"t{k}", f"t{k + 1}" if k < 30 else "c3") for k in range(31)] + [("self", "self"), ("many", "b"), ("many", "a"), (None, "a"), ("n", None)]
+    got = [tuple(r) for r in canonical.merge_closure(spark.createDataFrame(rows, "loser_key string, winner_key string")).collect()]
+    want = {f"k{k}": "k200" for k in range(200)} | {f"c{k}": f"c{k}" for k in range(7)} | {f"t{k}": "c3" for k in range(31)} | {"self": "self", "many": "a"}
+    assert len(got) == len(want) and dict(got) == want
+    assert canonical.merge_closure(spark.createDataFrame([], "loser_key string, winner_key string")).count() == 0
+
+
+def test_slugs_pass_over_many_taken_numbers(spark):
+    rows = [("x", 0)] + [(f"x {k}", k) for k in range(2, 14)] + [("x" + " -" * k, 100 + k) for k in range(1, 6)] + [("x 02", 50)]
+    got = {r["norm_key"]: r["slug"] for r in canonical.with_slugs(spark.createDataFrame([(k, k, n) for k, n in rows], "norm_key string, name string, first_seq int")).collect()}
+    assert len(got) == len(rows) == len(set(got.values())) and got["x"] == "x" and got["x 13"] == "x-13" and got["x 02"] == "x-02"
+    assert {got["x" + " -" * k] for k in range(1, 6)} == {f"x-{n}" for n in range(14, 19)}
+
+
 def test_slugs_stay_unique(spark):
     rows = spark.createDataFrame([("john smith", "John Smith", 1), ("john-smith", "John-Smith", 2), ("john smith 2", "x", 3), ("john smith-2", "y", 4)], "norm_key string, name string, first_seq int")
     slugs = {r["norm_key"]: r["slug"] for r in canonical.with_slugs(rows).collect()}
@@ -131,7 +146,7 @@ def test_refresh_derived(spark, data, tmp_path):
 def test_queue_machine_streams(spark, tmp_path):
     spark.createDataFrame([(1, False), (1, True), (2, False), (2, False), (2, False), (2, False), (3, False)], "node_id long, ok boolean").coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("node_id long, ok boolean").parquet(str(tmp_path / "in"))
-    rows = telemetry.run_to_end(telemetry.queue_states(stream), "queue_states", "update", str(tmp_path / "cp"))
+    rows = telemetry.run_to_end(telemetry.queue_states(stream), str(tmp_path / "out"), "update", str(tmp_path / "cp"))
     assert {r["node_id"]: (r["status"], r["attempts"]) for r in rows.collect()} == {1: ("done", 2), 2: ("failed", 4), 3: ("pending", 1)}
 
 
