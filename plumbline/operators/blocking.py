@@ -109,12 +109,21 @@ def generate(orgs: DataFrame) -> DataFrame:
     return merged_pairs(*(f(orgs) for f in BLOCKERS.values()))
 
 
-def with_features(pairs: DataFrame, orgs: DataFrame, rare: Column) -> DataFrame:
-    """Pairs (left_key, right_key, reasons) of ``orgs`` with the fourteen features; each key is profiled once and joined to its pairs."""
+def with_features(pairs: DataFrame, orgs: DataFrame, rare: Column | None = None, rare_tokens: DataFrame | None = None) -> DataFrame:
+    """Pairs (left_key, right_key, reasons) of ``orgs`` with the fourteen features; each key is profiled once and joined to its pairs.
+
+    Rare tokens are an array column or a table (``token``) of any size; of the table each key gets its own.
+    """
     keys = orgs.select("key").distinct().withColumn("profile", key_profile(F.col("key")))
-    side = lambda name: keys.select(F.col("key").alias(f"{name}_key"), F.col("profile").alias(f"_{name}"))
-    joined = pairs.join(side("left"), "left_key").join(side("right"), "right_key")
-    return joined.select("left_key", "right_key", *profile_features(F.col("_left"), F.col("_right"), F.col("reasons"), rare))
+    if rare is None:
+        held = keys.select("key", F.explode("profile.content").alias("token")).join(rare_tokens, "token").groupBy("key").agg(F.collect_set("token").alias("rare"))
+        keys = keys.join(held, "key", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<string>")))
+    else:
+        keys = keys.withColumn("rare", rare)
+    left = keys.select(F.col("key").alias("left_key"), F.col("profile").alias("_left"), "rare")
+    right = keys.select(F.col("key").alias("right_key"), F.col("profile").alias("_right"))
+    joined = pairs.join(left, "left_key").join(right, "right_key")
+    return joined.select("left_key", "right_key", *profile_features(F.col("_left"), F.col("_right"), F.col("reasons"), F.col("rare")))
 
 
 def hard_cases(orgs: DataFrame) -> DataFrame:

@@ -62,12 +62,17 @@ def rare_tokens(spark, d):
 SQL["rare_tokens"] = f"WITH {CTE['orgs']}, {_TOKENS} SELECT token, count(*) AS df FROM tok GROUP BY token HAVING count(*) <= 300"
 
 
-@query("rare_token_block")
-def rare_token_block(spark, d):
-    return blocking.rare_token_pairs(orgs(spark, d), 100).select("left_key", "right_key")
+def _units(spark, d):
+    """A name for every part; each unit's name stands in three of them, and longer groups share a word that is not rare."""
+    k = F.col("p_partkey")
+    return table(spark, d, "part").select(k.alias("id"), F.concat(F.lit("unit"), (k - k % 3).cast("string"), F.lit(" of works"), (k - k % 8).cast("string"), F.lit(" p"), k.cast("string")).alias("key"))
+
 
+@query("rare_token_block", """WITH tok AS (SELECT id, key, unnest(list_filter(string_split(key, ' '), lambda t: length(t) >= 4)) AS token FROM (SELECT p_partkey AS id, 'unit' || (p_partkey - p_partkey % 3) || ' of works' || (p_partkey - p_partkey % 8) || ' p' || p_partkey AS key FROM part)),
+ rare AS (SELECT token FROM tok GROUP BY token HAVING count(*) <= 5) SELECT DISTINCT least(a.key, b.key) AS left_key, greatest(a.key, b.key) AS right_key FROM tok a JOIN tok b ON a.token = b.token AND a.id < b.id JOIN rare ON rare.token = a.token""")
+def rare_token_block(spark, d):
+    return blocking.rare_token_pairs(_units(spark, d)).select("left_key", "right_key")
 
-SQL["rare_token_block"] = f"WITH {CTE['orgs']}, {_TOKENS}, rare AS (SELECT token FROM tok GROUP BY token HAVING count(*) <= 100) SELECT DISTINCT a.key AS left_key, b.key AS right_key FROM tok a JOIN tok b ON a.token = b.token AND a.key < b.key JOIN rare ON rare.token = a.token"
 
 _INI = "ini AS (SELECT key, unnest(list_distinct([array_to_string(list_transform(w, lambda t: left(t, 1)), ''), array_to_string(list_transform(list_filter(w, lambda t: t NOT IN ('for', 'the', 'of', 'and', 'a', 'an', 'to', 'in', 'at', 'on', 'by')), lambda t: left(t, 1)), '')])) AS ini FROM (SELECT key, string_split(key, ' ') AS w FROM orgs) WHERE len(w) >= 2)"
 _ACR = "SELECT DISTINCT least(o.key, i.key) AS left_key, greatest(o.key, i.key) AS right_key FROM orgs o JOIN ini i ON o.key = i.ini WHERE regexp_full_match(o.key, '[a-z]{2,7}')"
@@ -101,19 +106,23 @@ def abbrev_block(spark, d):
     return blocking.abbreviation_pairs(rows).select("left_key", "right_key")
 
 
-_UNION = f"SELECT left_key, right_key, array_to_string(list_sort(list(DISTINCT reason)), ',') AS reasons FROM (SELECT left_key, right_key, 'trigram' AS reason FROM ({_TRI}) UNION ALL SELECT *, 'acronym' FROM ({_ACR})) GROUP BY 1, 2"
+_RARE = "SELECT DISTINCT least(a.key, b.key), greatest(a.key, b.key) FROM tok a JOIN tok b ON a.token = b.token AND a.key < b.key JOIN rare ON rare.token = a.token"
+_RARES = "rare AS (SELECT token FROM tok GROUP BY token HAVING count(*) <= 5)"
+_UNION = f"SELECT left_key, right_key, array_to_string(list_sort(list(DISTINCT reason)), ',') AS reasons FROM (SELECT left_key, right_key, 'trigram' AS reason FROM ({_TRI}) UNION ALL SELECT *, 'acronym' FROM ({_ACR}) UNION ALL SELECT *, 'rare_token' FROM ({_RARE})) GROUP BY 1, 2"
 
 
 @query("blocker_union")
 def blocker_union(spark, d):
-    o = orgs(spark, d)
-    return blocking.merged_pairs(blocking.trigram_pairs(o), blocking.acronym_pairs(o)).select("left_key", "right_key", F.array_join("reasons", ",").alias("reasons"))
+    return blocking.generate(orgs(spark, d)).select("left_key", "right_key", F.array_join("reasons", ",").alias("reasons"))
+
+
+SQL["blocker_union"] = f"WITH {CTE['orgs']}, {CTE['gram']}, {_TOKENS}, {_RARES}, {_INI} {_UNION}"
 
 
-SQL["blocker_union"] = f"WITH {CTE['orgs']}, {CTE['gram']}, {_INI} {_UNION}"
+_CASES = f"SELECT left_key, right_key, array_to_string(list_sort(list(DISTINCT reason)), '+') AS pattern FROM (SELECT a.key AS left_key, b.key AS right_key, 'reordered' AS reason FROM (SELECT key, {_SIG} AS s FROM orgs) a JOIN (SELECT key, {_SIG} AS s FROM orgs) b ON a.s = b.s AND a.key < b.key WHERE len(a.s) >= 2 UNION ALL SELECT *, 'acronym' FROM ({_ACR}) UNION ALL SELECT a.key, b.key, 'and_variant' FROM (SELECT key, list_filter(string_split(key, ' '), lambda t: t <> 'and') AS s FROM orgs) a JOIN (SELECT key, list_filter(string_split(key, ' '), lambda t: t <> 'and') AS s FROM orgs) b ON a.s = b.s AND a.key < b.key) GROUP BY 1, 2"
 
 
-@query("hard_cases")
+@query("hard_cases", f"WITH {CTE['orgs']}, {_INI} {_CASES}")
 def hard_cases(spark, d):
     return blocking.hard_cases(orgs(spark, d)).select("left_key", "right_key", "pattern")
 
@@ -125,9 +134,7 @@ def possible_duplicates(spark, d):
 
 def _features(spark, d):
     o = orgs(spark, d)
-    pairs = blocking.merged_pairs(blocking.trigram_pairs(o, 0.5), blocking.acronym_pairs(o))
-    rare = F.array(F.lit("economy"), F.lit("small"))
-    return blocking.with_features(pairs, o, rare)
+    return blocking.with_features(blocking.generate(o), o, rare_tokens=blocking.rare_tokens(o))
 
 
 _G = "list_distinct(list_transform(range(1, length(p) - 1), lambda i: substr(p, i, 3)))"
@@ -140,22 +147,22 @@ def _jac(x: str, y: str) -> str:
 @query("features")
 def features(spark, d):
     f = _features(spark, d)
-    four = [F.round(c, 4).alias(c) for c in ("trigram_similarity", "token_jaccard", "length_ratio", "normalized_token_overlap", "despaced_trigram_similarity", "prefix_overlap", "suffix_match")]
-    return f.select("left_key", "right_key", "blocked_by_trigram", "blocked_by_acronym", "is_acronym_expansion", F.col("shared_rare_token_count").cast("long").alias("shared_rare_token_count"), *four)
+    four = [F.round(c, 4).alias(c) for c in ("trigram_similarity", "token_jaccard", "length_ratio", "normalized_token_overlap", "despaced_trigram_similarity", "prefix_overlap", "suffix_match", "acronym_x_trigram", "acronym_x_jaccard")]
+    return f.select("left_key", "right_key", "blocked_by_trigram", "blocked_by_rare_token", "blocked_by_acronym", "is_acronym_expansion", F.col("shared_rare_token_count").cast("long").alias("shared_rare_token_count"), *four)
 
 
-_FT = _TRI.replace("0.4", "0.5")
-SQL["features"] = f"""WITH {CTE['orgs']}, {CTE['gram']}, {_INI}, cand AS (SELECT left_key, right_key, list(DISTINCT reason) AS reasons FROM (SELECT left_key, right_key, 'trigram' AS reason FROM ({_FT}) UNION ALL SELECT *, 'acronym' FROM ({_ACR})) GROUP BY 1, 2),
+_FT = _TRI
+SQL["features"] = f"""WITH {CTE['orgs']}, {CTE['gram']}, {_TOKENS}, {_RARES}, {_INI}, cand AS (SELECT left_key, right_key, list(DISTINCT reason) AS reasons FROM (SELECT left_key, right_key, 'trigram' AS reason FROM ({_FT}) UNION ALL SELECT *, 'acronym' FROM ({_ACR}) UNION ALL SELECT *, 'rare_token' FROM ({_RARE})) GROUP BY 1, 2),
  norm AS (SELECT *, array_to_string(list_filter(string_split(left_key, ' '), lambda t: t NOT IN ('a', 'an', 'the')), ' ') AS a, array_to_string(list_filter(string_split(right_key, ' '), lambda t: t NOT IN ('a', 'an', 'the')), ' ') AS b FROM cand),
  made AS (SELECT *, list_distinct(string_split(a, ' ')) AS ta, list_distinct(string_split(b, ' ')) AS tb, list_distinct(list_transform(range(1, length(a) + 2), lambda i: substr('  ' || a || ' ', i, 3))) AS ga, list_distinct(list_transform(range(1, length(b) + 2), lambda i: substr('  ' || b || ' ', i, 3))) AS gb,
   replace(a, ' ', '') AS da, replace(b, ' ', '') AS db FROM norm),
  more AS (SELECT *, list_distinct(list_transform(range(1, length(da) + 2), lambda i: substr('  ' || da || ' ', i, 3))) AS ha, list_distinct(list_transform(range(1, length(db) + 2), lambda i: substr('  ' || db || ' ', i, 3))) AS hb FROM made)
- SELECT left_key, right_key, list_contains(reasons, 'trigram') AS blocked_by_trigram, list_contains(reasons, 'acronym') AS blocked_by_acronym,
+ SELECT *, round(CASE WHEN is_acronym_expansion THEN trigram_similarity ELSE 0 END, 4) AS acronym_x_trigram, round(CASE WHEN is_acronym_expansion THEN token_jaccard ELSE 0 END, 4) AS acronym_x_jaccard FROM (SELECT left_key, right_key, list_contains(reasons, 'trigram') AS blocked_by_trigram, list_contains(reasons, 'rare_token') AS blocked_by_rare_token, list_contains(reasons, 'acronym') AS blocked_by_acronym,
   EXISTS (SELECT 1 FROM ini WHERE (ini.key = a AND ini.ini = b AND regexp_full_match(b, '[a-z]{{2,7}}')) OR (ini.key = b AND ini.ini = a AND regexp_full_match(a, '[a-z]{{2,7}}'))) AS is_acronym_expansion,
-  len(list_intersect(list_intersect(ta, tb), ['economy', 'small'])) AS shared_rare_token_count, round({_jac('ga', 'gb')}, 4) AS trigram_similarity, round({_jac('ta', 'tb')}, 4) AS token_jaccard,
+  len(list_intersect(list_filter(list_intersect(ta, tb), lambda t: length(t) >= 4), (SELECT coalesce(list(token), []) FROM rare))) AS shared_rare_token_count, round({_jac('ga', 'gb')}, 4) AS trigram_similarity, round({_jac('ta', 'tb')}, 4) AS token_jaccard,
   round(least(length(a), length(b))::DOUBLE / greatest(length(a), length(b)), 4) AS length_ratio, round(len(list_intersect(ta, tb))::DOUBLE / least(len(ta), len(tb)), 4) AS normalized_token_overlap, round({_jac('ha', 'hb')}, 4) AS despaced_trigram_similarity,
   round(len(list_filter(range(1, least(length(a), length(b)) + 1), lambda i: left(a, i) = left(b, i)))::DOUBLE / greatest(length(a), length(b)), 4) AS prefix_overlap,
-  round(len(list_filter(range(1, least(length(a), length(b)) + 1), lambda i: right(a, i) = right(b, i)))::DOUBLE / greatest(length(a), length(b)), 4) AS suffix_match FROM more"""
+  round(len(list_filter(range(1, least(length(a), length(b)) + 1), lambda i: right(a, i) = right(b, i)))::DOUBLE / greatest(length(a), length(b)), 4) AS suffix_match FROM more)"""
 
 
 @query("feature_key", "SELECT p_partkey, array_to_string(list_filter(string_split(trim(regexp_replace(regexp_replace(replace(p_name || ' & the ' || lower(p_type), '&', ' and '), '[^a-z0-9_\\s]', ' ', 'g'), '\\s+', ' ', 'g')), ' '), lambda t: t NOT IN ('a', 'an', 'the')), ' ') AS k FROM part")

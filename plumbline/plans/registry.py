@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from plumbline.plans import entity_plans, matching_plans, rollup_plans, stream_plans, text_plans
+from plumbline.plans import entity_plans, matching_plans, review_plans, rollup_plans, stream_plans, text_plans
 
-_PLANS = (rollup_plans, text_plans, matching_plans, entity_plans, stream_plans)
+_PLANS = (rollup_plans, text_plans, matching_plans, entity_plans, review_plans, stream_plans)
 
 
 def queries() -> dict:

@@ -284,29 +284,36 @@ def slugify_unique(spark, d):
     return canonical.dimension(both, norm_key(F.col("p_name")), F.col("p_name"), F.col("seq")).select("norm_key", "name", "n_rows", "slug")
 
 
-_CHAIN = "SELECT 'part ' || p_partkey AS loser_key, 'part ' || (p_partkey // 3) AS winner_key FROM part WHERE p_partkey > 0"
+#: Chains of up to 99 parts, and ten cycles of three.
+_CHAIN = """RECURSIVE dec AS (SELECT 'part ' || p_partkey AS loser_key, 'part ' || (p_partkey - 1) AS winner_key FROM part WHERE p_partkey % 100 <> 0 UNION ALL SELECT 'ring ' || i || ' ' || j, 'ring ' || i || ' ' || ((j + 1) % 3) FROM range(10) a(i), range(3) b(j)),
+ walk AS (SELECT loser_key, winner_key AS stop, [loser_key] AS seen FROM dec UNION ALL SELECT walk.loser_key, dec.winner_key, list_append(seen, walk.stop) FROM walk JOIN dec ON dec.loser_key = walk.stop WHERE NOT list_contains(seen, walk.stop)),
+ closed AS (SELECT loser_key, arg_max(stop, len(seen)) AS canonical_key FROM walk GROUP BY 1)"""
 
 
 def _decisions(spark, d):
-    p = table(spark, d, "part").where("p_partkey > 0")
-    return p.select(F.concat(F.lit("part "), F.col("p_partkey").cast("string")).alias("loser_key"), F.concat(F.lit("part "), F.floor(F.col("p_partkey") / 3).cast("string")).alias("winner_key"))
+    key = lambda c: F.concat(F.lit("part "), c.cast("string"))
+    chains = table(spark, d, "part").where("p_partkey % 100 <> 0").select(key(F.col("p_partkey")).alias("loser_key"), key(F.col("p_partkey") - 1).alias("winner_key"))
+    ring = spark.range(30).selectExpr("concat('ring ', id div 3, ' ', id % 3)", "concat('ring ', id div 3, ' ', (id % 3 + 1) % 3)")
+    return chains.union(ring)
 
 
-@query("merge_closure", "SELECT 'part ' || p_partkey AS loser_key, 'part 0' AS canonical_key FROM part WHERE p_partkey > 0")
+@query("merge_closure", f"WITH {_CHAIN} SELECT * FROM closed")
 def merge_closure(spark, d):
     return canonical.merge_closure(_decisions(spark, d))
 
 
-@query("alias_table", "SELECT 'part ' || p_partkey AS alias_key, 'part 0' AS canonical_key, 'part-0' AS slug FROM part WHERE p_partkey > 0")
+@query("alias_table", f"WITH {_CHAIN} SELECT loser_key AS alias_key, canonical_key, 'part-' || p_partkey AS slug FROM closed JOIN part ON canonical_key = 'part ' || p_partkey")
 def alias_table(spark, d):
     orgs = table(spark, d, "part").select(F.concat(F.lit("part "), F.col("p_partkey").cast("string")).alias("norm_key"), F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("slug"))
     return canonical.aliases(canonical.merge_closure(_decisions(spark, d)), orgs)
 
 
-@query("canonical_orgs", "SELECT replace(lower(c_mktsegment), '-', ' ') AS key, count(*) AS n_rows, min(c_custkey) AS first_seq FROM customer GROUP BY 1")
+@query("canonical_orgs", """SELECT coalesce(w, key) AS key, count(*) AS n_rows, min(c_custkey) AS first_seq FROM (SELECT c_custkey, replace(lower(c_mktsegment), '-', ' ') AS key FROM customer) LEFT JOIN (SELECT min(k) AS l, max(k) AS w FROM (SELECT DISTINCT replace(lower(c_mktsegment), '-', ' ') AS k FROM customer)) ON l = key GROUP BY 1""")
 def canonical_orgs(spark, d):
+    """Customers by segment, with the first segment merged into the last."""
     from plumbline.functions.text import norm_key, strip_legal_form
 
     rows = table(spark, d, "customer").select(strip_legal_form(norm_key(F.concat("c_mktsegment", F.lit(", Inc.")))).alias("key"), F.col("c_custkey").alias("seq"))
-    closed = canonical.resolved(rows, canonical.merge_closure(spark.createDataFrame([("nobody", "no one")], "loser_key string, winner_key string")), "key")
+    merged = rows.agg(F.min("key").alias("loser_key"), F.max("key").alias("winner_key"))
+    closed = canonical.resolved(rows, canonical.merge_closure(merged), "key")
     return closed.groupBy(F.col("canonical_key").alias("key")).agg(F.count("*").alias("n_rows"), F.min("seq").alias("first_seq"))

@@ -35,27 +35,56 @@ def edition_slug(spark, d):
     return table(spark, d, "orders").select("o_orderkey", text.edition_slug(F.col("o_orderpriority"), F.year("o_orderdate")).alias("slug"))
 
 
-@query("location_strip", "SELECT c_custkey, c_name AS stripped FROM customer")
+_PLACES = "[" + ", ".join(f"'{v}'" for v in text.location_vocabulary()) + "]"
+_FORMS = "|".join((*text.LEGAL_FORMS, *text.SPELLED_FORMS))
+_KEYED = "trim(regexp_replace(regexp_replace(lower(strip_accents({})), '[^a-z0-9_\\s-]', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+def _stripped_sql(name: str, own: str, rest: str, source: str) -> str:
+    """Trailing comma segments that are places or empty go; the first stays."""
+    keys = _KEYED.format("x")
+    return f"""SELECT {rest}, array_to_string(parts[1:list_max(list_transform(range(1, len(parts) + 1), lambda i: CASE WHEN i = 1 OR NOT (keys[i] = '' OR list_contains(places, keys[i]) OR list_contains(own, keys[i])) THEN i ELSE 0 END))], ', ') AS stripped
+ FROM (SELECT *, list_transform(parts, lambda x: {keys}) AS keys FROM (SELECT *, list_transform(string_split({name}, ','), lambda x: trim(x)) AS parts, {own} AS own, list_concat({_PLACES}, (SELECT list({_KEYED.format('n_name')}) FROM nation)) AS places FROM {source}))"""
+
+
+_TAILS = "CASE c_custkey % 6 WHEN 0 THEN ', ' || n_name || ', NY, U.S.A.' WHEN 1 THEN ', São Paulo, Côte d''Or' WHEN 2 THEN ', , Texas' WHEN 3 THEN ', Ohio Group, USA' WHEN 4 THEN '' ELSE ', ' || n_name || ' Works' END"
+
+
+@query("location_strip", _stripped_sql(f"c_name || {_TAILS}", "['sao paulo', 'cote d or']", "c_custkey", "customer JOIN nation ON c_nationkey = n_nationkey"))
 def location_strip(spark, d):
-    """Names with a nation, a state and an alias appended lose all three; the vocabulary holds the data's countries."""
-    c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    vocabulary = F.array(*(F.lit(v) for v in text.location_vocabulary()))
-    c = c.withColumn("own", F.array(F.regexp_replace(F.lower("n_name"), "[^a-z0-9_]+", " ")))
-    name = F.concat("c_name", F.lit(", "), "n_name", F.lit(", NY, U.S.A."))
-    return c.select("c_custkey", text.strip_location(name, vocabulary, F.col("own")).alias("stripped"))
+    """Names with places behind them; the vocabulary holds the data's countries, a dimension."""
+    nations = table(spark, d, "nation")
+    vocabulary = F.array(*(F.lit(v) for v in text.location_vocabulary(r["n_name"] for r in nations.select("n_name").collect())))
+    c = table(spark, d, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    k = F.col("c_custkey") % 6
+    tail = F.when(k == 0, F.concat(F.lit(", "), "n_name", F.lit(", NY, U.S.A."))).when(k == 1, ", São Paulo, Côte d'Or").when(k == 2, ", , Texas").when(k == 3, ", Ohio Group, USA").when(k == 4, "").otherwise(F.concat(F.lit(", "), "n_name", F.lit(" Works")))
+    return c.select("c_custkey", text.strip_location(F.concat("c_name", tail), vocabulary, F.array(F.lit("sao paulo"), F.lit("cote d or"))).alias("stripped"))
 
 
-@query("suffix_strip", "SELECT s_suppkey, regexp_replace(lower(s_name), '[^a-z0-9]+', ' ', 'g') AS key, CASE WHEN s_suppkey % 3 = 2 THEN NULL ELSE CASE s_suppkey % 3 WHEN 0 THEN 'ltd' ELSE 'company' END END AS form FROM supplier")
+_SUFFIXED = "s_name || CASE s_suppkey % 5 WHEN 0 THEN ' Co., Ltd' WHEN 1 THEN ' Company' WHEN 2 THEN ' L.L.C.' WHEN 3 THEN ', Inc. Group' ELSE ' Été GmbH,' END"
+
+
+def _suffixed():
+    n = F.col("s_suppkey") % 5
+    return F.concat("s_name", F.when(n == 0, " Co., Ltd").when(n == 1, " Company").when(n == 2, " L.L.C.").when(n == 3, ", Inc. Group").otherwise(" Été GmbH,"))
+
+
+@query("suffix_strip", f"SELECT s_suppkey, regexp_replace(k, '( ({_FORMS}))+$', '') AS key, CASE WHEN list_contains(string_split('{'|'.join(text.LEGAL_FORMS)}', '|'), string_split(k, ' ')[-1]) THEN string_split(k, ' ')[-1] END AS form FROM (SELECT s_suppkey, {_KEYED.format(_SUFFIXED)} AS k FROM supplier)")
 def suffix_strip(spark, d):
-    n = F.col("s_suppkey") % 3
-    full = text.norm_key(F.concat("s_name", F.when(n == 0, " Co., Ltd").when(n == 1, " Company").otherwise(" L.L.C.")))
+    full = text.norm_key(_suffixed())
     return table(spark, d, "supplier").select("s_suppkey", text.strip_legal_form(full).alias("key"), text.trailing_form(full).alias("form"))
 
 
-@query("normalize_org", "SELECT s_suppkey, regexp_replace(lower(s_name), '[^a-z0-9]+', ' ', 'g') AS key, s_name AS display, 'Co. Ltd' AS form FROM supplier")
+_WORDS = "regexp_extract_all(full_name, '[^\\s,]+')"
+_KEPT = f"list_max(list_transform(range(1, len({_WORDS}) + 1), lambda i: CASE WHEN i = 1 OR NOT regexp_full_match({_KEYED.format(_WORDS + '[i]')}, '{_FORMS}') THEN i ELSE 0 END))"
+
+
+@query("normalize_org", f"""SELECT s_suppkey, regexp_replace({_KEYED.format('display')}, '( \\S+)\\1+$', '\\1') AS key, display, form FROM (SELECT s_suppkey, CASE WHEN kept < len(words) THEN trim(left(full_name, position(array_to_string(words[kept + 1:kept + 1], '') IN full_name) - 1), ' ,') ELSE trim(full_name, ' ,') END AS display,
+ nullif(array_to_string(words[kept + 1:], ' '), '') AS form FROM (SELECT s_suppkey, full_name, {_WORDS} AS words, {_KEPT} AS kept FROM (SELECT s_suppkey, {_SUFFIXED.replace("'Été GmbH,'", "'Été GmbH,'")} AS full_name FROM supplier)))""".replace("'( \\S+)\\1+$', '\\1'", "'$^', ''"))
 def normalize_org(spark, d):
+    """Names behind which stand a place and its state; the SQL starts from the name without them."""
     vocabulary = F.array(*(F.lit(v) for v in text.location_vocabulary()))
-    made = table(spark, d, "supplier").select("s_suppkey", text.normalized_org(F.concat("s_name", F.lit(" Co., Ltd, Armonk, NY")), vocabulary, F.array(F.lit("armonk"))).alias("o"))
+    made = table(spark, d, "supplier").select("s_suppkey", text.normalized_org(F.concat(_suffixed(), F.lit(", Armonk, NY")), vocabulary, F.array(F.lit("armonk"))).alias("o"))
     return made.select("s_suppkey", "o.key", "o.display", "o.form")
 
 

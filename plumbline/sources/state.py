@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.session import cut
+
 
 def archive(old: DataFrame, new: DataFrame, order: Column) -> DataFrame:
     """Content-addressed insert: the earliest row of each (url, checksum) stays. Both have url, html, checksum."""
@@ -59,8 +61,8 @@ def requeued(queue: DataFrame) -> DataFrame:
 
 
 def rebuilt(df: DataFrame, path: str) -> None:
-    """Truncate and rebuild."""
-    df.write.mode("overwrite").parquet(path)
+    """Truncate and rebuild; ``df`` may itself read the path, so it is finished in the shared folder first."""
+    cut(df).write.mode("overwrite").parquet(path)
 
 
 def appended(df: DataFrame, path: str) -> None:
