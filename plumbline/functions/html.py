@@ -114,20 +114,32 @@ def parse_post(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([post_of(h) for h in html], columns=["title", "author", "clean_text", "links"])
 
 
+#: Elements whose text is never shown.
+_SILENT = {"script", "style", "noscript", "template"}
+
+
 class _Main(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.depth, self.out = 0, []
+        self.out: list[str] = []
+        self.held: list[tuple[str, list[str]]] = []  # elements to skip that are open, with the text inside
 
     def handle_starttag(self, tag, attrs):
-        self.depth += tag in _SKIPPED
+        if tag in _SKIPPED:
+            self.held.append((tag, []))
 
     def handle_endtag(self, tag):
-        self.depth -= tag in _SKIPPED and self.depth > 0
+        at = next((k for k in range(len(self.held) - 1, -1, -1) if self.held[k][0] == tag), None)
+        if at is not None:
+            del self.held[at:]
 
     def handle_data(self, data):
-        if not self.depth:
-            self.out.append(data)
+        (self.held[-1][1] if self.held else self.out).append(data)
+
+    def close(self):
+        super().close()
+        # furniture that is never closed is none: its text counts
+        self.out += [t for tag, texts in self.held if tag not in _SILENT for t in texts]
 
 
 def main_text(html: str | None) -> str:

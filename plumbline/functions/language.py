@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from plumbline.functions.text import let
+
 # Function words by language, in the order that breaks ties.
 WORDS = {
     "en": "the and of to in a is for with that on are as this by an be or from at your you we it its our has have will",
@@ -16,11 +18,6 @@ WORDS = {
 SCRIPTS = {"cjk": r"[\x{4E00}-\x{9FFF}\x{3040}-\x{30FF}\x{AC00}-\x{D7AF}&&\p{L}]", "cyrillic": r"[\x{0400}-\x{04FF}&&\p{L}]", "arabic": r"[\x{0600}-\x{06FF}&&\p{L}]"}
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, however often it is used."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _among(words: list[str]):
     return lambda w: w.isin(*words)
 
@@ -46,10 +43,10 @@ def detected_language(text: Column, script_share: float = 0.10, least_words: int
         return out
 
     counts = F.struct(F.regexp_count(text, F.lit(r"\p{L}")).alias("letters"), *(F.regexp_count(text, F.lit(p)).alias(k) for k, p in SCRIPTS.items()))
-    hits = _let(words, lambda w: F.struct(F.size(w).alias("words"), F.filter(w, _among(known)).alias("hits")))
-    of_words = _let(hits, lambda n: F.struct(n["words"].alias("words"), *(F.size(F.filter(n["hits"], _among(v.split()))).alias(k) for k, v in WORDS.items())))
-    latin = _let(of_words, by_words)
+    hits = let(words, lambda w: F.struct(F.size(w).alias("words"), F.filter(w, _among(known)).alias("hits")))
+    of_words = let(hits, lambda n: F.struct(n["words"].alias("words"), *(F.size(F.filter(n["hits"], _among(v.split()))).alias(k) for k, v in WORDS.items())))
+    latin = let(of_words, by_words)
     # Texts without a letter or with one of a script that decides alone are few; only they are counted by script.
     scripted = ~text.rlike(r"\p{L}") | text.rlike("|".join(SCRIPTS.values()))
-    out = F.when(scripted, F.coalesce(_let(counts, by_script), latin)).otherwise(latin)
+    out = F.when(scripted, F.coalesce(let(counts, by_script), latin)).otherwise(latin)
     return out

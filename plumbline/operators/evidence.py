@@ -49,7 +49,8 @@ def funnel(pages: DataFrame, known: DataFrame, least_chars: int = 500) -> DataFr
     text, tier = F.coalesce(F.col("text"), F.lit("")), source_tier(F.col("url"))
     early = F.when(is_junk_url(F.col("url")), "junk_url").when(tier == "E", "tier_e").when(F.col("_known"), "exists").when(F.length(text) < least_chars, "thin")
     rows = folded_subjects(rows.withColumn("tier", tier).withColumn("_early", early).withColumn("_sha", F.sha2(text, 256)))
-    n = F.row_number().over(Window.partitionBy("_sha", F.col("_early").isNull()).orderBy("subject", "url"))
+    # only pages that are not skipped yet are compared; the others stand alone, so that empty texts are no hot key
+    n = F.row_number().over(Window.partitionBy(F.when(F.col("_early").isNull(), F.col("_sha")).otherwise(F.concat_ws(" ", "subject", "url"))).orderBy("subject", "url"))
     outcome = F.coalesce("_early", F.when(n > 1, "duplicate").when(~subject_mentioned(F.col("kind")), "not_named").otherwise("kept"))
     return rows.select("subject", "kind", "url", "tier", outcome.alias("outcome"))
 

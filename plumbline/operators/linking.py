@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.text import norm_key, years_in
+from plumbline.functions.text import let, norm_key, years_in
 
 # Confidence of an edge by entity type.
 CONFIDENCE = {"program": 0.70, "program_edition": 0.70, "category_definition": 0.65, "organization": 0.55}
@@ -34,14 +34,15 @@ def mentions(texts: DataFrame, vocab: DataFrame) -> DataFrame:
     that only their places leave it; more are joined.
     """
     first = vocab.withColumn("word", F.split_part("gram", F.lit(" "), F.lit(1))).groupBy("word").agg(F.max("words").alias("longest"))
-    keyed = texts.select("doc_id", F.split(norm_key(F.col("text")), " ").alias("w"))
-    ahead = lambda i: F.array_join(F.slice("w", i + 1, LONGEST), " ")
+    words = F.split(norm_key(F.col("text")), " ")
+    start = lambda w, i: F.struct(i.alias("at"), F.get(w, i).alias("word"), F.array_join(F.slice(w, i + 1, LONGEST), " ").alias("ahead"))
     known = [r["word"] for r in first.select("word").limit(FIRST_WORDS + 1).collect()]
     if len(known) <= FIRST_WORDS:
-        places = F.filter(F.transform("w", lambda x, i: F.when(x.isin(*known), i)), lambda i: i.isNotNull())
-        starts = keyed.select("doc_id", F.explode(F.transform(places, lambda i: F.struct(i.alias("at"), F.get("w", i).alias("word"), ahead(i).alias("ahead")))).alias("s")).select("doc_id", "s.*")
+        places = lambda w: F.filter(F.transform(w, lambda x, i: F.when(x.isin(*known), i)), lambda i: i.isNotNull())
+        found = let(words, lambda w: F.transform(places(w), lambda i: start(w, i)))
     else:
-        starts = keyed.select("doc_id", F.posexplode(F.transform("w", lambda x, i: F.struct(x.alias("word"), ahead(i).alias("ahead")))).alias("at", "s")).select("doc_id", "at", "s.word", "s.ahead")
+        found = let(words, lambda w: F.transform(w, lambda x, i: start(w, i)))
+    starts = texts.select("doc_id", F.explode(found).alias("s")).select("doc_id", "s.*")
     near = starts.join(first, "word").select("doc_id", "at", F.split("ahead", " ").alias("a"), "longest")
     grams = near.select("doc_id", "at", F.explode(F.sequence(F.lit(1), F.least(F.size("a"), F.col("longest"), F.lit(LONGEST)))).alias("span"), "a").select("doc_id", "at", "span", F.array_join(F.slice("a", F.lit(1), F.col("span")), " ").alias("gram"))
     hits = grams.join(vocab, "gram").groupBy("doc_id", "at").agg(F.max_by(F.struct("gram", "entity_id", "entity_slug", "entity_type"), "span").alias("h"))

@@ -70,12 +70,20 @@ def recognition_confidence(links: DataFrame, trust: DataFrame) -> DataFrame:
     return links.join(trust, ["entity_type", "entity_id"]).groupBy("node_id").agg(F.round(low, 4).alias("min_score"), F.round(F.avg("score"), 4).alias("avg_score"), F.count("*").alias("n_dimensions"), band(low).alias("band"))
 
 
-def fetch_rate(samples: DataFrame) -> DataFrame:
-    """Rate between consecutive samples of a counter (``source``, ``ts``, ``fetched``)."""
-    w = Window.partitionBy("source").orderBy("ts")
-    seconds = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lag("ts").over(w).cast("timestamp"))
-    gained = F.col("fetched") - F.lag("fetched").over(w)
-    return samples.select("source", "ts", "fetched", gained.alias("gained"), F.round(F.try_divide(gained * F.lit(1e6), seconds), 2).alias("rate_per_s"))
+def fetch_rate(samples: DataFrame, unit: str = "hour") -> DataFrame:
+    """Rate between consecutive samples of a counter (``source``, ``ts``, ``fetched``).
+
+    A source may have any number of samples: each ``unit`` of time is ordered on its own, and its first sample
+    follows the last one of the unit before, of which there is one row each.
+    """
+    rows = samples.select("source", "ts", "fetched", F.date_trunc(unit, F.col("ts").cast("timestamp")).alias("_unit"))
+    own = F.lag(F.struct("ts", "fetched")).over(Window.partitionBy("source", "_unit").orderBy("ts"))
+    lasts = rows.groupBy("source", "_unit").agg(F.max(F.struct("ts", "fetched")).alias("_last"))
+    before = lasts.select("source", "_unit", F.lag("_last").over(Window.partitionBy("source").orderBy("_unit")).alias("_before"))
+    rows = rows.withColumn("_own", own).join(before, ["source", "_unit"]).withColumn("_prev", F.coalesce("_own", "_before"))
+    seconds = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("_prev.ts").cast("timestamp"))
+    gained = F.col("fetched") - F.col("_prev.fetched")
+    return rows.select("source", "ts", "fetched", gained.alias("gained"), F.round(F.try_divide(gained * F.lit(1e6), seconds), 2).alias("rate_per_s"))
 
 
 def queue_status(queue: DataFrame, reported: DataFrame) -> DataFrame:
