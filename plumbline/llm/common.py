@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import contextvars
 import ctypes
 import gc
 import os
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -19,10 +16,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.session import shared_dir
+
 #: Text bytes that one vectorised step holds at most (a single longer text is a step of its own).
 STEP_BYTES = 4 << 20
 
-_local_fallback: list[str] = []
 _caches: list = []
 
 
@@ -49,24 +47,6 @@ def lean() -> None:
     trim()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
-
-    Where it is unset in local mode (tests), a temporary folder of this process is made
-    once and removed at exit; on a cluster that is an error, as executors share no local folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    if not _local_fallback:
-        path = tempfile.mkdtemp(prefix="plumbline-")
-        atexit.register(shutil.rmtree, path, ignore_errors=True)
-        _local_fallback.append(f"file://{path}")
-    return _local_fallback[0]
-
-
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -268,6 +268,42 @@ def test_links_inside_a_crowd_with_equal_long_prefixes(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 for i in range(1600)}
 
 
+def exact_components(rows, width):
+    """brute_components for many texts: pairs are compared only if they share one of their rarest shingles, as linked ones must."""
+    sets = {}
+    for i, t in rows:
+        sets.setdefault(shingle_set(t, width), []).append(i)
+    often = Counter(x for s in sets for x in s)
+    parent = {}
+    for s, ids in sets.items():
+        for i in ids:
+            parent[i] = min(ids) if s else i
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    index = {}
+    for s, ids in sorted(sets.items(), key=lambda kv: len(kv[0])):
+        order = sorted(s, key=lambda x: (often[x], x))
+        first = order[: len(s) - -(-80 * len(s) // 100) + 1]
+        for other in {o for x in first for o in index.get(x, ())}:
+            if 100 * len(other) >= 80 * len(s) and 100 * (both := len(s & other)) >= 80 * (len(s) + len(other) - both):
+                x, y = sorted((root(ids[0]), root(sets[other][0])))
+                parent[y] = x
+        for x in first:
+            index.setdefault(x, []).append(s)
+    return {i: root(i) for i in parent}
+
+
+def test_near_duplicates_of_ten_thousand_documents(spark):
+    rows = [tuple(r) for r in table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text").collect()]
+    want = exact_components(rows, 4)
+    got = {r["doc_id"]: r["component_id"] for r in QUERIES["op3_minhash_near_dedup"](spark, "/root/testdata/sf0.1").collect()}
+    assert len(got) == len(rows) >= 10_000 and got == want
+
+
 def test_links_between_pages_of_one_template(spark):
     rows = crowd_around_a_passage(3000, 353, 47, 9)  # 400 words: 0.79 between any two, 0.83 between the two of a pair
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), 4).collect()
