@@ -6,12 +6,14 @@ without a denominator are null; empty tables give counts of 0.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.similarity import SPLIT_V1, SPLIT_V2, assigned_split, pair_fraction
-from plumbline.operators.scoring import brier, confusion
-from plumbline.sources.state import FrozenVersion
+from plumbline.operators.scoring import Scorer, assert_clean, brier, calibrated, confusion, fit, scored
+from plumbline.sources.state import FrozenVersion, guard_frozen
 
 PAIR = ["left_key", "right_key"]
 TRAINED = ("merge", "distinct")
@@ -77,6 +79,26 @@ def deltas(metrics: DataFrame, base: str, names: tuple[str, ...] = ("precision",
     return long.where(F.col("model_version") != base).join(F.broadcast(old), "metric").select("model_version", "metric", "base", "value", F.round(F.col("value") - F.col("base"), 4).alias("delta"))
 
 
+def fitted_version(rows: DataFrame, frozen: DataFrame, registry: DataFrame, version: str, features: tuple[str, ...], binary: tuple[str, ...] = ()) -> tuple[Scorer, DataFrame, DataFrame]:
+    """Fit, calibrate and evaluate a version: (scorer, its predictions of the frozen pairs, the registry with its summary).
+
+    ``rows``: pairs with label and features. Refuses versions that have a summary, and training pairs that are frozen. The frozen pairs
+    evaluate; the others train and calibrate by the salted hash.
+    """
+    guard_frozen(registry, version)
+    dealt = second_dataset(rows.withColumn("provenance", F.lit(None).cast("string")).withColumn("round", F.lit(None).cast("int")), frozen).select(*PAIR, "split")
+    data = rows.where(F.col("label").isin(*TRAINED)).withColumn("y", (F.col("label") == "merge").cast("int")).join(dealt, PAIR)
+    part = lambda name: data.where(F.col("split") == name).drop("label").withColumnRenamed("y", "label")
+    assert_clean(part("train"), frozen)
+    scorer = calibrated(fit(part("train"), features, binary), part("calibration"))
+    held = data.where(F.col("split") == "evaluation").select(*PAIR, *features)
+    predictions = scored(held, scorer, version)
+    metrics = evaluated(predictions.join(frozen.select(*PAIR, "label"), PAIR))
+    summary = F.lit(json.dumps({c: v for c, v in metrics.first().asDict().items() if c != "model_version"}, sort_keys=True))
+    known = registry if registry.where(F.col("model_version") == version).limit(1).count() else registry.unionByName(registry.sparkSession.createDataFrame([(version, json.dumps(scorer.coefficient_table()), None)], "model_version string, coefficients string, metrics_summary string"))
+    return scorer, predictions, frozen_registry(known, version, summary)
+
+
 def blocker_efficiency(gold: DataFrame, candidates: DataFrame) -> DataFrame:
     """Per blocker: merges found, those that it alone finds, pairs emitted, and merges per pair; a pair counts for each of its reasons."""
     emitted = candidates.select(F.explode("reasons").alias("blocker")).groupBy("blocker").agg(F.count("*").alias("emitted"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plumbline.sources.tables import table
@@ -60,6 +61,38 @@ def stream_dedupe(spark, d):
     return telemetry.run_to_end(telemetry.deduplicated(stream, ["user_id", "event_type"]), _checkpoint(spark), "append", _checkpoint(spark)).select("user_id", "event_type")
 
 
+@query("stream_trailing_rate", "SELECT strftime(s, '%Y-%m-%d %H:%M') AS start, count(*) AS n FROM (SELECT unnest([time_bucket(INTERVAL 1 MINUTE, ts), time_bucket(INTERVAL 1 MINUTE, ts) - INTERVAL 1 MINUTE]) AS s FROM events) GROUP BY 1")
+def stream_trailing_rate(spark, d):
+    found = telemetry.run_to_end(telemetry.trailing(telemetry.event_stream(spark, d)), _checkpoint(spark), "complete", _checkpoint(spark))
+    return found.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "n")
+
+
+@query("rate_with_eta", "SELECT strftime(s, '%Y-%m-%d %H:%M') AS start, n, done, round(greatest(20000 - done, 0) / n::DOUBLE, 2) AS minutes_left FROM (SELECT s, n, sum(n) OVER (ORDER BY s)::BIGINT AS done FROM (SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS s, count(*) AS n FROM events GROUP BY 1))")
+def rate_with_eta(spark, d):
+    """Throughput by minute, what was done up to it, and minutes left; the window runs over one row a minute."""
+    per = telemetry.per_minute(_events(spark, d)).groupBy("start").agg(F.sum("n").alias("n"))
+    done = per.withColumn("done", F.sum("n").over(Window.orderBy("start")))
+    return telemetry.with_remaining(done, 20000).select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "n", "done", "minutes_left")
+
+
+@query("stream_hash_dedupe", "SELECT DISTINCT sha256(text) AS sha FROM documents")
+def stream_hash_dedupe(spark, d):
+    schema = table(spark, d, "documents").schema
+    stream = telemetry.first_of_each_text(telemetry.cursor_stream(spark, schema, f"{d}/documents.parquet*", 4), "text").select("sha")
+    return telemetry.run_to_end(stream, _checkpoint(spark), "append", _checkpoint(spark))
+
+
+@query("stream_gated_pages", "SELECT page_id, url FROM pages")
+def stream_gated_pages(spark, d):
+    """Pages enter the table batch by batch, after their gates."""
+    from plumbline.operators.gates import Gate, percent
+
+    schema = table(spark, d, "pages").schema
+    stream = telemetry.cursor_stream(spark, schema, f"{d}/pages.parquet*", 1).select("page_id", "url")
+    gates = lambda b: [Gate("ids are unique", b, F.count("*") - F.countDistinct("page_id"), "=", 0), Gate("urls are there", b, percent(F.col("url").isNotNull()), ">", 99)]
+    return telemetry.gated(stream, gates, _checkpoint(spark), _checkpoint(spark))
+
+
 @query("token_budget", "SELECT event_id, user_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW), 4) AS trailing FROM events")
 def token_budget(spark, d):
     return telemetry.token_budget(table(spark, d, "events"))

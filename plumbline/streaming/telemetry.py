@@ -88,6 +88,54 @@ def incremental(stream: DataFrame, score, target: str, keys: list[str], checkpoi
     stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+class GateFailed(RuntimeError):
+    """A batch did not pass its gates; the stream stops before the batch is part of the table."""
+
+
+def gated(stream: DataFrame, gates_of, folder: str, checkpoint: str) -> DataFrame:
+    """The stream's rows below ``folder``, each batch only after its gates passed.
+
+    ``gates_of`` gives the gates of a batch. A failing batch raises; started again, the stream takes it up anew.
+    """
+    from plumbline.operators.gates import checked
+
+    spark = stream.sparkSession
+    spark.createDataFrame([], stream.schema).write.mode("ignore").parquet(f"{folder}/start")
+
+    def put(batch: DataFrame, number: int) -> None:
+        failed = [r["gate"] for r in checked(gates_of(batch)).where("NOT passed").collect()]  # a row per gate
+        if failed:
+            raise GateFailed(f"batch {number}: {', '.join(failed)}")
+        batch.write.mode("overwrite").parquet(f"{folder}/batch-{number}")
+
+    stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", "true").parquet(folder)
+
+
+def cursor_stream(spark: SparkSession, schema, path: str, files_per_batch: int) -> DataFrame:
+    """A table's files as a stream in batches of a few; the checkpoint is the cursor."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+
+
+def first_of_each_text(stream: DataFrame, text: str) -> DataFrame:
+    """Rows whose text's hash was not seen before in the run."""
+    return stream.withColumn("sha", F.sha2(F.coalesce(F.col(text), F.lit("")), 256)).dropDuplicates(["sha"])
+
+
+def with_remaining(rates: DataFrame, wanted: int) -> DataFrame:
+    """Minutes left at the rate of each window, from what was done up to it. ``rates``: start, n, done."""
+    return rates.withColumn("minutes_left", F.round(F.try_divide(F.greatest(F.lit(wanted) - F.col("done"), F.lit(0)) * 1.0, F.col("n")), 2))
+
+
+def sampled(spark: SparkSession, sample, folder: str, checkpoint: str, rows_per_second: int = 1, seconds: int = 8) -> DataFrame:
+    """A sampler: for each tick of a rate source ``sample(ticks)`` gives rows, which are appended below ``folder``, for ``seconds``."""
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    query = sample(ticks).writeStream.format("parquet").option("path", folder).option("checkpointLocation", checkpoint).trigger(processingTime="1 second").start()
+    query.awaitTermination(seconds)
+    query.stop()
+    return spark.read.parquet(folder)
+
+
 def token_budget(events: DataFrame, seconds: int = 60) -> DataFrame:
     """Sum of ``value`` over the trailing window of each user's events."""
     from pyspark.sql import Window

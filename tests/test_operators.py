@@ -157,3 +157,31 @@ def test_incremental_scoring(spark, tmp_path):
         stream = spark.readStream.schema("id long").parquet(source)
         telemetry.incremental(stream, lambda df: df.withColumn("score", F.col("id") * 2), str(tmp_path / "out"), ["id"], str(tmp_path / "cp"))
     assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3]
+
+
+def test_gates_stop_a_stream_before_a_bad_batch(spark, tmp_path):
+    from plumbline.operators.gates import Gate
+
+    source = str(tmp_path / "in")
+    gates = lambda b: [Gate("no negative ids", b, F.count_if(F.col("id") < 0), "=", 0)]
+    run = lambda: telemetry.gated(telemetry.cursor_stream(spark, "id long", source, 1), gates, str(tmp_path / "out"), str(tmp_path / "cp"))
+    spark.createDataFrame([(1,), (2,)], "id long").coalesce(1).write.mode("append").parquet(source)
+    assert sorted(r["id"] for r in run().collect()) == [1, 2]
+    spark.createDataFrame([(-3,)], "id long").coalesce(1).write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="no negative ids"):
+        run()
+    assert sorted(r["id"] for r in spark.read.schema("id long").option("recursiveFileLookup", "true").parquet(str(tmp_path / "out")).collect()) == [1, 2]
+
+
+def test_texts_enter_once_in_a_run(spark, tmp_path):
+    source = str(tmp_path / "in")
+    for texts in (("a", "b"), ("b", "c"), (None, "a")):
+        spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1).write.mode("append").parquet(source)
+    stream = telemetry.first_of_each_text(telemetry.cursor_stream(spark, "text string", source, 1), "text").select("text")
+    got = telemetry.run_to_end(stream, str(tmp_path / "out"), "append", str(tmp_path / "cp")).collect()
+    assert sorted(str(r["text"]) for r in got) == ["None", "a", "b", "c"]
+
+
+def test_sampler_appends(spark, tmp_path):
+    got = telemetry.sampled(spark, lambda ticks: ticks.select("timestamp", F.lit("queue").alias("what")), str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert got.columns == ["timestamp", "what"] and got.count() >= 1

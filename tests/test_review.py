@@ -90,3 +90,18 @@ def test_backfill_and_versions(spark):
     assert sorted(map(tuple, reports.backfilled(rows, source, "id", "v").collect())) == [(1, "a"), (2, "x"), (3, None)]
     same, other = reports.versioned(spark.createDataFrame([("a",), ("b",), (None,)], "version string"), "a")
     assert same.count() == 1 and other.count() == 2
+
+
+def test_version_is_fitted_evaluated_and_frozen_once(spark):
+    from plumbline.functions.similarity import pair_fraction
+
+    rows = spark.range(600).select(F.concat(F.lit("l"), F.col("id").cast("string")).alias("left_key"), F.concat(F.lit("r"), F.col("id").cast("string")).alias("right_key"), F.when(F.col("id") % 3 == 0, "merge").when(F.col("id") % 50 == 1, "related").otherwise("distinct").alias("label"))
+    rows = rows.withColumn("x", F.when(F.col("label") == "merge", 1.0).otherwise(0.0) + pair_fraction(F.col("left_key"), F.col("right_key"), "noise"))
+    frozen = evaluation.frozen_benchmark(rows)
+    registry = spark.createDataFrame([("old", "[]", "done")], "model_version string, coefficients string, metrics_summary string")
+    scorer, predictions, after = evaluation.fitted_version(rows, frozen, registry, "v2", ("x",))
+    assert scorer.weights["x"] > 0 and predictions.count() == frozen.where("label <> 'related'").count()
+    summary = {r["model_version"]: r["metrics_summary"] for r in after.collect()}
+    assert summary["old"] == "done" and '"accuracy": 1.0' in summary["v2"]
+    with pytest.raises(state.FrozenVersion):
+        evaluation.fitted_version(rows, frozen, after, "v2", ("x",))
