@@ -22,11 +22,26 @@ def _among(words: list[str]):
     return lambda w: w.isin(*words)
 
 
+def latin_language(text: Column, least_words: int = 15, least_ratio: float = 0.04) -> Column:
+    """``en``, ``de``, ``es``, ``fr`` or ``und`` by function words alone, whatever other scripts the text holds."""
+    words = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("([a-zA-Zà-ÿÀ-ß]+)"), F.lit(1)), lambda w: F.lower(w))
+    known = sorted({w for v in WORDS.values() for w in v.split()})
+
+    def by_words(n: Column) -> Column:
+        best = F.greatest(*(n[k] for k in WORDS))
+        out = F.when((n["words"] < least_words) | (best < least_ratio * n["words"]), "und")
+        for k in WORDS:
+            out = out.when(n[k] == best, k)
+        return out
+
+    hits = let(words, lambda w: F.struct(F.size(w).alias("words"), F.filter(w, _among(known)).alias("hits")))
+    of_words = let(hits, lambda n: F.struct(n["words"].alias("words"), *(F.size(F.filter(n["hits"], _among(v.split()))).alias(k) for k, v in WORDS.items())))
+    return let(of_words, by_words)
+
+
 def detected_language(text: Column, script_share: float = 0.10, least_words: int = 15, least_ratio: float = 0.04) -> Column:
     """A script name, ``en``, ``de``, ``es``, ``fr`` or ``und``."""
     text = F.coalesce(text, F.lit(""))
-    words = F.transform(F.regexp_extract_all(text, F.lit("([a-zA-Zà-ÿÀ-ß]+)"), F.lit(1)), lambda w: F.lower(w))
-    known = sorted({w for v in WORDS.values() for w in v.split()})
 
     def by_script(n: Column) -> Column:
         top = F.greatest(*(n[k] for k in SCRIPTS))
@@ -35,18 +50,14 @@ def detected_language(text: Column, script_share: float = 0.10, least_words: int
             out = out.when((top >= script_share * n["letters"]) & (n[k] == top), k)
         return out
 
-    def by_words(n: Column) -> Column:
-        best = F.greatest(*(n[k] for k in WORDS))
-        out = F.when((n["words"] < least_words) | (best < least_ratio * n["words"]), "und")
-        for k in WORDS:
-            out = out.when(n[k] == best, k)
-        return out
-
     counts = F.struct(F.regexp_count(text, F.lit(r"\p{L}")).alias("letters"), *(F.regexp_count(text, F.lit(p)).alias(k) for k, p in SCRIPTS.items()))
-    hits = let(words, lambda w: F.struct(F.size(w).alias("words"), F.filter(w, _among(known)).alias("hits")))
-    of_words = let(hits, lambda n: F.struct(n["words"].alias("words"), *(F.size(F.filter(n["hits"], _among(v.split()))).alias(k) for k, v in WORDS.items())))
-    latin = let(of_words, by_words)
+    latin = latin_language(text, least_words, least_ratio)
     # Texts without a letter or with one of a script that decides alone are few; only they are counted by script.
     scripted = ~text.rlike(r"\p{L}") | text.rlike("|".join(SCRIPTS.values()))
     out = F.when(scripted, F.coalesce(let(counts, by_script), latin)).otherwise(latin)
     return out
+
+
+def gate(text: Column, language: Column) -> Column:
+    """What the English gate does with a text of that language: ``kept``, ``skipped_non_english`` or ``skipped_empty``."""
+    return F.when(F.trim(F.coalesce(text, F.lit(""))) == "", "skipped_empty").when(language == "en", "kept").otherwise("skipped_non_english")
